@@ -1,12 +1,16 @@
 """The queries op1 to op10 and the SQL for those that SQL can express."""
 
-from . import bpe, linededup, mixing
+from . import bpe, langid, linededup, mixing, nearset, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
+    "op2_minhash": nearset.op2_minhash,
     "op3_line_dedup": linededup.op3_line_dedup,
+    "op6_langid": langid.op6_langid,
+    "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
 }
 ORACLES = {
     "op3_line_dedup": linededup.ORACLE,
+    "op8_warc": warc.ORACLE,
 }
