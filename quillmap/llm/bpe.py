@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from ._common import bounded_batches, map_arrow, read_table
 
 #: Words remembered by a worker at most; beyond, the memory is cleared.
-CACHE = 600_000
+CACHE = 350_000
 #: Two ids make one key; what no pair of symbols has as its rank.
 SPAN, NONE = 1 << 24, 1 << 40
 #: Symbols of a fragment from which it is encoded alone.
