@@ -1,16 +1,19 @@
 """The queries op1 to op10 and the SQL for those that SQL can express."""
 
-from . import bpe, langid, linededup, mixing, nearset, warc
+from . import bpe, crosspoly, kmtree, langid, linededup, mixing, nearset, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
     "op2_minhash": nearset.op2_minhash,
     "op3_line_dedup": linededup.op3_line_dedup,
     "op6_langid": langid.op6_langid,
+    "op7_crosspoly": crosspoly.op7_crosspoly,
     "op8_warc": warc.op8_warc,
     "op9_mixing": mixing.op9_mixing,
+    "op10_kmtree": kmtree.op10_kmtree,
 }
 ORACLES = {
     "op3_line_dedup": linededup.ORACLE,
+    "op7_crosspoly": crosspoly.ORACLE,
     "op8_warc": warc.ORACLE,
 }
