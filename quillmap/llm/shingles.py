@@ -28,11 +28,12 @@ def _power(base: int, n: int) -> np.ndarray:
     return _POWERS[base][:n]
 
 
-def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word of A-Z lower-cased bytes between white space, and at which word each text starts (n + 1)."""
+def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
+    """A 64-bit hash of each word of A-Z lower-cased bytes between white space, at which word each text starts (n + 1), and the words' starts and ends."""
     n = len(raw)
     if not n:
-        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64)
+        none = np.empty(0, np.int64)
+        return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
     ink = ~_SPACE[raw]
     edge = np.zeros(n, bool)  # first bytes of texts end a word before them
     inner = offsets[1:-1]
@@ -45,7 +46,11 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(_VALUE[_LOWER[raw]] * _power(_BASE, n), out=total[1:])
     h = (total[e] - total[s]) * _power(_INVERSE, n)[s]
-    return mix64(h + (e - s).astype(np.uint64) * _ODD[63]), np.searchsorted(s, offsets)
+    return mix64(h + (e - s).astype(np.uint64) * _ODD[63]), np.searchsorted(s, offsets), s, e
+
+
+def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return word_spans(raw, offsets)[:2]
 
 
 def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int, chunk: int = 4 << 20) -> list[np.ndarray]:
