@@ -1 +1 @@
-
+"""Scalar functions, all native expressions."""

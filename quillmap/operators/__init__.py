@@ -1 +1 @@
-
+"""Matching operators over DataFrames."""

@@ -1 +1 @@
-
+"""Plans: the pipeline, and the catalog of queries."""

@@ -1,4 +1,391 @@
-"""All queries of the engine and the SQL that checks them."""
+"""All queries of the engine and the SQL that checks them. Each callable takes (spark, sf_dir) and returns a frame."""
 
-QUERIES: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ..config import Config
+from ..functions import arrays as A
+from ..functions import text as T
+from ..operators import exact, export, ladder, lookup, reports, vectors
+from ..sources import tables
+from . import pipeline
+from . import proxies as P
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+
+
+def query(oracle: str | None = None):
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if oracle is not None:
+            ORACLES[f.__name__] = P.sql(oracle)
+        return f
+
+    return add
+
+
+def r6(*names: str) -> list:
+    return [F.round(F.col(n), 6).alias(n) for n in names]
+
+
+# --- text --------------------------------------------------------------------------------------------------------
+
+
+@query(f"select doc_id, {P.norm('text')} as key from documents")
+def normalize_text(spark, sf):
+    return P.table(spark, sf, "documents").select("doc_id", T.normalize(F.col("text")).alias("key"))
+
+
+_CELL = "case when p_partkey % 7 = 0 then null else ' ' || p_name || ' , ,' || upper(p_brand) || ',' || p_type || ' ' end"
+
+
+@query(f"""select p_partkey, array_to_string(parts, ' | ') as terms, len(parts)::bigint as n from (select p_partkey, coalesce(list_filter(list_transform(
+    string_split({_CELL}, ','), lambda y: lower({P.strip('y')})), lambda y: y <> ''), []) as parts from part)""")
+def split_list_cell(spark, sf):
+    cell = F.when(F.col("p_partkey") % 7 != 0, F.concat(F.lit(" "), "p_name", F.lit(" , ,"), F.upper("p_brand"), F.lit(","), "p_type", F.lit(" ")))
+    parts = T.split_list_cell(cell)
+    return P.table(spark, sf, "part").select("p_partkey", A.join_list(parts).alias("terms"), A.list_length(parts).alias("n"))
+
+
+@query("select job_id, clean from (" + P.cleaned("select * from titles", "title") + ")")
+def clean_title(spark, sf):
+    return P.titles(spark, sf).select("job_id", T.clean_title(F.col("title")).alias("clean"))
+
+
+@query("select title, place, text, label_key from cand")
+def title_candidates_exploded(spark, sf):
+    rows = P.titles(spark, sf).where("title is not null").select("title").distinct()
+    return rows.select("title", F.posexplode(T.title_candidates(F.col("title"))).alias("place", "c")).select("title", F.col("place").cast("long").alias("place"), "c.text", F.col("c.key").alias("label_key"))
+
+
+@query("select title, text from prepared")
+def prepare_text(spark, sf):
+    rows = P.titles(spark, sf).where("title is not null").select("title").distinct()
+    return rows.select("title", T.prepare_text(F.col("title")).alias("text"))
+
+
+@query("select uri, case when coalesce(description, '') <> '' then canonical || ' - ' || description[:12] else canonical end as embed_text from concepts")
+def embed_text(spark, sf):
+    _, concepts, _ = P.vocabulary(spark, sf)
+    return concepts.select("uri", T.embed_text(F.col("canonical"), F.col("description"), 12).alias("embed_text"))
+
+
+@query("select sha1(string_agg(p_name || chr(0), '' order by p_partkey))[:16] as signature from part")
+def content_signature(spark, sf):
+    from ..sources.stores import content_signature as sign
+
+    return spark.createDataFrame([(sign(P.table(spark, sf, "part"), "p_partkey", "p_name"),)], "signature string")
+
+
+# --- targets -----------------------------------------------------------------------------------------------------
+
+
+@query("select label_key, uri from lookup")
+def first_writer_lookup(spark, sf):
+    return P.vocabulary(spark, sf)[0]
+
+
+@query("select lpad(p_size::varchar, 2, '0') as code, arg_max(p_name, p_partkey) as label from part group by 1")
+def last_writer_lookup(spark, sf):
+    code = F.concat(F.lit(" "), F.lpad(F.col("p_size").cast("string"), 2, "0"))
+    return tables.group_labels(P.table(spark, sf, "part").select(code.alias("code"), F.col("p_name").alias("preferredLabel"), F.col("p_partkey").alias("ord")))
+
+
+@query("select uri, canonical, array_to_string(variants, ' | ') as variants, description, isco_group, pos from concepts")
+def concept_variants(spark, sf):
+    _, concepts, _ = P.vocabulary(spark, sf)
+    return concepts.select("uri", "canonical", A.join_list(F.col("variants")).alias("variants"), "description", "isco_group", "pos")
+
+
+@query("select label_idx, label, uri, label_key, canonical from idx")
+def target_index(spark, sf):
+    _, concepts, _ = P.vocabulary(spark, sf)
+    return lookup.target_index(concepts, True).select(F.col("label_idx").cast("long").alias("label_idx"), "label", "uri", "label_key", "canonical")
+
+
+# --- joins -------------------------------------------------------------------------------------------------------
+
+
+@query("select o_custkey, arg_min(o_orderkey, o_orderkey) as first_order from orders where o_custkey in (select c_custkey from customer where c_mktsegment = 'BUILDING') group by 1")
+def semi_join_scan(spark, sf):
+    wanted = P.table(spark, sf, "customer").where("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("o_custkey"))
+    rows = P.table(spark, sf, "orders").select("o_custkey", F.col("o_orderkey").alias("first_order"), F.col("o_orderkey").alias("ord"))
+    return tables.first_per_key(rows.join(wanted, "o_custkey", "left_semi"), "o_custkey", "first_order")
+
+
+@query("""select c_custkey as job_id, coalesce(array_to_string(list_filter(list_transform(string_split(cell, ','), lambda y: lower(trim(y))), lambda y: y <> ''), ' | '), '') as skills
+    from customer left join (select o_custkey, string_agg(o_orderpriority, ', ' order by o_orderkey) as cell from orders group by 1) on o_custkey = c_custkey""")
+def left_join_default_array(spark, sf):
+    cells = P.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("job_id")).agg(F.array_sort(F.collect_list(F.struct("o_orderkey", "o_orderpriority"))).alias("s"))
+    cells = cells.select("job_id", F.array_join(F.transform("s", lambda s: s["o_orderpriority"]), ", ").alias("job_skills"))
+    rows = P.table(spark, sf, "customer").select(F.col("c_custkey").alias("job_id"))
+    return tables.with_skills(rows, cells).select("job_id", A.join_list(F.col("skills")).alias("skills"))
+
+
+@query("select title, occupation from texact")
+def exact_title_match(spark, sf):
+    return exact.match_titles_exact(P.titles(spark, sf), P.vocabulary(spark, sf)[2])
+
+
+@query(f"select r.title, t.canonical as occupation from (select distinct title from titles where title is not null) r join targets t on t.label_key = {P.norm('r.title')}")
+def exact_raw_title_match(spark, sf):
+    return exact.match_titles_exact(P.titles(spark, sf), P.vocabulary(spark, sf)[2], use_candidates=False)
+
+
+@query("select title, occupation, uri from texact")
+def exact_uri_relookup(spark, sf):
+    found, _, targets = P.vocabulary(spark, sf)
+    return exact.canonical_uri(exact.match_titles_exact(P.titles(spark, sf), targets), found)
+
+
+@query("""select t.job_id, string_agg(coalesce(e.canonical, ''), ' | ' order by pos) as skills, string_agg(case when e.raw is not null then 'exact' else '' end, ' | ' order by pos) as methods
+    from terms t left join sexact e on e.raw = t.raw group by t.job_id""")
+def aligned_skills_exact(spark, sf):
+    slots = P.terms(spark, sf)
+    found = slots.join(exact.match_terms_exact(slots, P.vocabulary(spark, sf)[2]), "raw", "left")
+    out = exact.align(slots.select("job_id").distinct(), found, skills=F.col("canonical"), methods=F.when(F.col("canonical").isNotNull(), "exact"))
+    return out.select("job_id", A.join_list(F.col("skills")).alias("skills"), A.join_list(F.col("methods")).alias("methods"))
+
+
+@query("""select c.job_id, c.title, coalesce(string_agg(coalesce(e.canonical, ''), ' | ' order by pos) filter (t.raw is not null), '') as skills, any_value(x.occupation) as occupation
+    from corpus c join texact x on x.title = c.title left join terms t on t.job_id = c.job_id left join sexact e on e.raw = t.raw group by c.job_id, c.title""")
+def rule_stage_drop_unmatched(spark, sf):
+    targets = P.vocabulary(spark, sf)[2]
+    out = exact.rule_stage(P.corpus(spark, sf), targets, targets, drop_unmatched=True)
+    return out.select("job_id", "title", A.join_list(F.col("skills")).alias("skills"), "occupation")
+
+
+@query("select text from ttexts")
+def distinct_unmatched_texts(spark, sf):
+    rows = P.titles(spark, sf)
+    matched = exact.match_titles_exact(rows, P.vocabulary(spark, sf)[2])
+    return ladder.title_texts(rows.join(matched, "title", "left_anti")).select("text").distinct()
+
+
+@query("""with s as (select c_custkey as job_id, c_name as title, null::varchar as occupation, c_mktsegment as kept from customer),
+    g as (select o_custkey as job_id, max(o_orderpriority) as occupation, count(*) as n from orders group by 1)
+    select s.job_id, s.title, s.kept, coalesce(g.occupation, s.title) as occupation, g.n from s left join g using (job_id)""")
+def merge_stage(spark, sf):
+    rows = P.table(spark, sf, "customer").select(F.col("c_custkey").alias("job_id"), F.col("c_name").alias("title"), F.lit(None).cast("string").alias("occupation"), F.col("c_mktsegment").alias("kept"))
+    stage = P.table(spark, sf, "orders").groupBy(F.col("o_custkey").alias("job_id")).agg(F.max("o_orderpriority").alias("occupation"), F.count("*").alias("n"))
+    return pipeline.merge_stage(rows, stage, ["occupation", "n"]).withColumn("occupation", F.coalesce("occupation", "title"))
+
+
+# --- vectors -----------------------------------------------------------------------------------------------------
+
+_VECS = """with q as (select vec_id, embedding::double[] as e from embeddings where vec_id < 100), l as (select vec_id as label_idx, embedding::double[] as e from embeddings where vec_id >= 100),
+  r as (select q.vec_id, label_idx, round(list_inner_product(q.e, l.e), 9) as score, row_number() over (partition by q.vec_id order by round(list_inner_product(q.e, l.e), 9) desc, label_idx) as rank from q, l qualify rank <= 5),
+  b as (select a.vec_id, a.label_idx, a.score, a.score - c.score as margin from r a left join r c on c.vec_id = a.vec_id and c.rank = 2 where a.rank = 1)"""
+
+
+def _vector_ranks(spark, sf, k=5):
+    rows = P.table(spark, sf, "embeddings").select(F.col("vec_id"), F.col("embedding"))
+    labels = rows.where("vec_id >= 100").select(F.col("vec_id").cast("int").alias("label_idx"), "embedding")
+    return vectors.top_k(rows.where("vec_id < 100"), labels, k)
+
+
+def _vector_scores(spark, sf):
+    return vectors.best_with_margin(_vector_ranks(spark, sf), "vec_id")
+
+
+@query(_VECS + " select vec_id, label_idx::bigint as label_idx, rank, round(score, 6) as score from r")
+def vector_topk(spark, sf):
+    return _vector_ranks(spark, sf).select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), F.col("rank").cast("long").alias("rank"), *r6("score"))
+
+
+@query(_VECS + " select vec_id, label_idx::bigint as label_idx, round(score, 6) as score, round(margin, 6) as margin from b")
+def vector_margin(spark, sf):
+    return _vector_scores(spark, sf).select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), *r6("score", "margin"))
+
+
+@query(_VECS + " select vec_id, case when score >= 0.5 then 'embedding' when score >= 0.35 and margin >= 0.02 then 'embedding_margin' end as method from b")
+def ladder_verdict(spark, sf):
+    from ..config import Ladder
+
+    method = ladder.verdict(F.col("score"), F.col("margin"), Ladder(similarity=0.5, margin_min_score=0.35, margin=0.02))
+    return _vector_scores(spark, sf).select("vec_id", method.alias("method"))
+
+
+@query(_VECS + """ select vec_id, label_idx::bigint as label_idx, ce_score, round(score, 6) as bi_score from (
+    select *, ((vec_id * 31 + label_idx * 17) % 5)::double / 5 as ce_score from r) qualify row_number() over (partition by vec_id order by ce_score desc, rank) = 1""")
+def ce_rerank_argmax(spark, sf):
+    scorer = ((F.col("vec_id") * 31 + F.col("label_idx") * 17) % 5).cast("double") / 5
+    best = vectors.best_pair(vectors.score_pairs(_vector_ranks(spark, sf), scorer), "vec_id")
+    return best.select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), "ce_score", *r6("bi_score"))
+
+
+# --- ladders -----------------------------------------------------------------------------------------------------
+
+
+def _title_rows(spark, sf, corpus):
+    found, concepts, targets = P.vocabulary(spark, sf)
+    return ladder.match_titles(corpus, found, targets, P.index(concepts, True), P.embed, P.shared_words(), P.LADDER)
+
+
+def _skill_rows(spark, sf, corpus):
+    _, concepts, targets = P.vocabulary(spark, sf)
+    return ladder.match_skills(corpus, targets, P.index(concepts, False), P.embed, P.shared_words(), P.LADDER)
+
+
+def _title_scores(spark, sf):
+    _, concepts, targets = P.vocabulary(spark, sf)
+    rows = P.titles(spark, sf)
+    open_ = ladder.title_texts(rows.join(exact.match_titles_exact(rows, targets), "title", "left_anti"))
+    return ladder.score_texts(open_.select("text").distinct(), P.index(concepts, True), P.embed, P.shared_words(), P.LADDER)
+
+
+_R = "round(esco_score, 6) as esco_score, round(esco_best_score, 6) as esco_best_score, round(esco_best_margin, 6) as esco_best_margin, round(esco_ce_score, 6) as esco_ce_score"
+
+
+@query(f"select * replace ({_R}) from trows")
+def title_ladder(spark, sf):
+    rows = _title_rows(spark, sf, P.titles(spark, sf))
+    return rows.withColumns({c: F.round(c, 6) for c in ("esco_score", "esco_best_score", "esco_best_margin", "esco_ce_score")})
+
+
+@query("select job_id, skills, methods, dropped, n_skills_exact, n_skills_embedding, n_skills_embedding_margin, n_skills_embedding_ce from skill_rows")
+def skill_ladder_writeback(spark, sf):
+    rows = _skill_rows(spark, sf, P.corpus(spark, sf))
+    return rows.select("job_id", A.join_list(F.col("skills")).alias("skills"), A.join_list(F.col("skill_match_methods")).alias("methods"), A.join_list(F.col("skills_dropped_terms")).alias("dropped"), *(c for c in rows.columns if c.startswith("n_skills")))
+
+
+@query("""with m as (select coalesce(method, 'unmatched') as method, count(*) as n from slots group by 1), e as (select unnest(['exact', 'embedding', 'embedding_margin', 'embedding_ce', 'unmatched']) as method)
+    select method, coalesce(n, 0) as n, round(100.0 * coalesce(n, 0) / sum(n) over (), 6) as pct from e left join m using (method)""")
+def skill_method_counts(spark, sf):
+    counts = reports.method_counts(reports.skill_mentions(_skill_rows(spark, sf, P.corpus(spark, sf))), "method")
+    return counts.select("method", "n", *r6("pct"))
+
+
+def _finished(spark, sf):
+    corpus = P.corpus(spark, sf)
+    rows = _title_rows(spark, sf, corpus.drop("skills"))
+    out = corpus.withColumn("skills_raw", F.col("skills"))
+    out = pipeline.merge_stage(out, rows, ["esco_occupation", "esco_uri", "match_method"])
+    skills = _skill_rows(spark, sf, corpus)
+    return pipeline.merge_stage(out, skills, [c for c in skills.columns if c.startswith(("skill", "n_skills"))])
+
+
+def _export(spark, sf):
+    _, concepts, _ = P.vocabulary(spark, sf)
+    return export.flatten(_finished(spark, sf), concepts, P.groups(spark, sf))
+
+
+_EXPORT = """select c.job_id as job_link, c.title as job_title, esco_occupation, esco_uri, match_method as title_match_method,
+  coalesce(isco_group, '')[:2] as isco_submajor_code, coalesce(g2.label, '') as isco_submajor_label, coalesce(isco_group, '') as isco_group_code, coalesce(g4.label, '') as isco_group_label,
+  s.original as job_skills_original, s.n_terms as n_skills_original, s.skills as esco_skills, s.n_matched as n_skills_esco, s.methods as esco_skill_match_methods, s.dropped as skills_unmatched
+  from crows c join skill_rows s using (job_id) left join concepts k on k.uri = esco_uri left join groups g4 on g4.code = isco_group left join groups g2 on g2.code = isco_group[:2]
+  where esco_uri is not null and s.n_matched >= 1"""
+
+
+@query(_EXPORT)
+def export_flatten(spark, sf):
+    return _export(spark, sf)
+
+
+@query(f"""select count(*) as rows, count(distinct esco_occupation) as occupations, count(distinct isco_submajor_code) as submajors,
+    round(avg(n_skills_esco), 6) as mean_skills, round(avg(n_skills_original), 6) as mean_original from ({_EXPORT})""")
+def distinct_and_mean(spark, sf):
+    return export.export_summary(_export(spark, sf)).select("rows", "occupations", "submajors", *r6("mean_skills", "mean_original"))
+
+
+# --- reports -----------------------------------------------------------------------------------------------------
+
+
+@query("select count(*) as rows, count(esco_occupation) as with_occupation, round(100.0 * count(esco_occupation) / count(*), 6) as pct from trows")
+def run_summary(spark, sf):
+    return reports.run_summary(_title_rows(spark, sf, P.titles(spark, sf)).withColumnRenamed("esco_occupation", "occupation")).select("rows", "with_occupation", *r6("pct"))
+
+
+@query("""with m as (select coalesce(match_method, 'unmatched') as method, count(*) as n from trows group by 1), e as (select unnest(['exact', 'embedding', 'embedding_margin', 'embedding_ce', 'unmatched']) as method)
+    select method, coalesce(n, 0) as n, round(100.0 * coalesce(n, 0) / sum(n) over (), 6) as pct from e left join m using (method)""")
+def title_method_counts(spark, sf):
+    return reports.method_counts(_title_rows(spark, sf, P.titles(spark, sf))).select("method", "n", *r6("pct"))
+
+
+@query("select esco_occupation as occupation, count(*) as n from trows where esco_occupation is not null group by 1")
+def occupation_counts(spark, sf):
+    rows = _title_rows(spark, sf, P.titles(spark, sf)).where("esco_occupation is not null")
+    return rows.groupBy(F.col("esco_occupation").alias("occupation")).agg(F.count("*").alias("n"))
+
+
+@query("""select round(sum(n * p) / sum(n), 6) as precision from (select match_method as method, count(*) as n from trows where match_method is not null group by 1)
+    join (values ('exact', 1.0), ('embedding', 0.67), ('embedding_margin', 0.40), ('embedding_ce', 0.60)) v(method, p) using (method)""")
+def precision_estimate(spark, sf):
+    return reports.precision_estimate(reports.method_counts(_title_rows(spark, sf, P.titles(spark, sf)))).select(*r6("precision"))
+
+
+@query("select method, canonical as label, count(*) as n, row_number() over (partition by method order by count(*) desc, canonical) as rank from slots where method is not null group by 1, 2 qualify rank <= 20")
+def top20_by_method(spark, sf):
+    top = reports.top_by_method(reports.skill_mentions(_skill_rows(spark, sf, P.corpus(spark, sf))), "skill", "method")
+    return top.withColumn("rank", F.col("rank").cast("long"))
+
+
+@query("""select (q * 10)::bigint as q, round(quantile_cont(score, q / 10.0), 6) as value from tscores, range(11) r(q) group by r.q""".replace("quantile_cont(score, q / 10.0)", "list_extract(any_value(v), q + 1)").replace("from tscores, range(11) r(q)", "from (select quantile_cont(score, [0, 0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9, 1]) as v from tscores), range(11) r(q)"))
+def calibration_deciles(spark, sf):
+    return reports.deciles(_title_scores(spark, sf)).select("q", *r6("value"))
+
+
+_BANDS = "values (0.45, 0.5), (0.5, 0.55), (0.55, 0.6), (0.6, 0.65), (0.65, 0.7), (0.7, 0.75), (0.75, 0.8), (0.8, 1.01)"
+
+
+@query(f"select lo::double as lo, hi::double as hi, count_if(score >= lo::double and score < hi::double)::bigint as n from tscores, ({_BANDS}) b(lo, hi) group by 1, 2")
+def calibration_bands(spark, sf):
+    return reports.band_counts(_title_scores(spark, sf))
+
+
+@query(f"select lo::double as threshold, count_if(score >= lo::double)::bigint as n from tscores, ({_BANDS}) b(lo, hi) group by 1")
+def calibration_thresholds(spark, sf):
+    return reports.threshold_counts(_title_scores(spark, sf))
+
+
+@query("""select s::double as min_score, m::double as min_margin, count_if(score < 0.97::double and score >= s::double and margin >= m::double)::bigint as n
+    from tscores, (values (0.60, 0.10), (0.65, 0.10), (0.70, 0.15), (0.70, 0.20)) g(s, m) group by 1, 2""")
+def calibration_margin_grid(spark, sf):
+    return reports.margin_grid(_title_scores(spark, sf), P.LADDER.similarity)
+
+
+@query("select job_id, title[:44] as title, esco_best_guess, round(esco_best_score, 6) as esco_best_score from trows where match_method is null and esco_best_guess is not null order by trows.esco_best_score desc, trows.title, job_id limit 40")
+def unmatched_closest(spark, sf):
+    return reports.unmatched_closest(_title_rows(spark, sf, P.titles(spark, sf))).withColumn("esco_best_score", F.round("esco_best_score", 6))
+
+
+@query("select job_id, title[:70] as title from trows where match_method is null and esco_best_guess is null order by trows.title nulls first, job_id limit 40")
+def unmatched_unscored(spark, sf):
+    return reports.unmatched_unscored(_title_rows(spark, sf, P.titles(spark, sf)))
+
+
+@query("select text, guess, round(score, 6) as score from sscores where method is null order by sscores.score desc, text limit 40")
+def unmatched_terms(spark, sf):
+    _, concepts, targets = P.vocabulary(spark, sf)
+    slots = P.terms(spark, sf)
+    texts = slots.join(exact.match_terms_exact(slots, targets), "raw", "left_anti").select(T.strip(F.col("raw")).alias("text")).where("text != ''").distinct()
+    scores = ladder.score_texts(texts, P.index(concepts, False), P.embed, P.shared_words(), P.LADDER)
+    return reports.unmatched_terms(scores).withColumn("score", F.round("score", 6))
+
+
+# --- without SQL -------------------------------------------------------------------------------------------------
+
+
+@query()
+def pair_sample(spark, sf):
+    """A seeded sample of titles the pair scorer took; the hash is Spark's."""
+    return reports.pair_sample(_title_rows(spark, sf, P.titles(spark, sf)))
+
+
+@query()
+def band_samples(spark, sf):
+    return reports.band_samples(_title_scores(spark, sf))
+
+
+@query()
+def encoder_ladder(spark, sf):
+    """The whole run with a stand-in encoder and pair scorer in Arrow batches on distinct texts."""
+    raw = P.taxonomy(spark, sf)
+    pair = tables.lookup(raw), tables.concepts(raw, tables.OCCUPATION)
+    result = pipeline.run_stages(P.corpus(spark, sf), {"occupations": pair, "skills": pair}, Config(), vectors.TrigramEncoder(), vectors.TokenOverlap())
+    return result.corpus

@@ -1 +1 @@
-
+"""Sources and stores."""
