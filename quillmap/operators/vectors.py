@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Bytes of label vectors that one pass sends to the executors; a larger index takes several passes.
-PASS_BYTES = 256 << 20
+PASS_BYTES = 64 << 20
 QUERY_BLOCK = 512
 #: Scores are rounded to so many digits before they are ranked, so that equal ones tie and the label index decides.
 DIGITS = 9
@@ -141,9 +141,11 @@ def top_k(queries: DataFrame, labels: DataFrame, k: int, vec: str = "embedding",
     schema = ", ".join([*(f"`{n}` {t}" for n, t in queries.dtypes if n != vec), "label_idx int, score double"])
     found = None
     for lo in range(0, (top or 0) + 1, per_pass):
-        part = labels.where((F.col("label_idx") >= lo) & (F.col("label_idx") < lo + per_pass)).where(F.col(vec).isNotNull()).orderBy("label_idx").select("label_idx", vec).collect()
-        at = np.array([r[0] for r in part], np.int32)
-        held = spark.sparkContext.broadcast((at, np.array([r[1] for r in part], np.float64).reshape(len(part), -1)))
+        part = labels.where((F.col("label_idx") >= lo) & (F.col("label_idx") < lo + per_pass)).where(F.col(vec).isNotNull())
+        part = part.select("label_idx", F.col(vec).cast("array<double>").alias("v")).orderBy("label_idx").toArrow()
+        at = part.column("label_idx").to_numpy().astype(np.int32)
+        flat = part.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        held = spark.sparkContext.broadcast((at, flat.reshape(len(at), -1) if len(at) else flat.reshape(0, 0)))
 
         def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
             at, m = held.value

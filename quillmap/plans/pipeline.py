@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import dataclasses
+import os
 import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import DESCRIPTION_TOKENS, Config
+from ..config import DESCRIPTION_TOKENS, QUERY_TOKENS, Config
 from ..operators import exact, export, ladder, lookup, reports, vectors
 from ..sources import stores, tables
 
@@ -27,8 +28,11 @@ def merge_stage(corpus: DataFrame, stage: DataFrame, columns: list[str]) -> Data
     return corpus.drop(*new).join(stage.select("job_id", *new), "job_id", "left")
 
 
-def run_stages(corpus: DataFrame, taxonomies: dict[str, tuple[DataFrame, DataFrame]], config: Config, encoder: vectors.Encoder, scorer: vectors.PairScorer | Column | None) -> PipelineResult:
-    """All stages over job_id, title, skills; raw skills stay as skills_raw. One plan, nothing is run here but the indexes."""
+def run_stages(corpus: DataFrame, taxonomies: dict[str, tuple[DataFrame, DataFrame]], config: Config, encoder: vectors.Encoder, scorer: vectors.PairScorer | Column | None, vector_dir: str | None = None) -> PipelineResult:
+    """All stages over job_id, title, skills; raw skills stay as skills_raw. One plan, nothing is run here but the indexes.
+
+    With vector_dir the index vectors are kept there, under the encoder's name and a signature of the texts.
+    """
     occupation_lookup, occupations = taxonomies["occupations"]
     skill_lookup, skill_concepts = taxonomies["skills"]
     occupation_targets = exact.with_canonical(occupation_lookup, occupations)
@@ -36,15 +40,21 @@ def run_stages(corpus: DataFrame, taxonomies: dict[str, tuple[DataFrame, DataFra
     out = exact.rule_stage(corpus, occupation_targets, skill_targets, config.drop_unmatched == "after_exact", config.use_candidates)
     out = out.join(corpus.select("job_id", F.col("skills").alias("skills_raw")), "job_id", "left")
     embed = lambda df: vectors.embed(df, encoder)
-    tokens = DESCRIPTION_TOKENS if config.use_description else 64
+    tokens = DESCRIPTION_TOKENS if config.use_description else QUERY_TOKENS
+
+    def indexed(concepts: DataFrame, skip_generic: bool) -> DataFrame:
+        index = lookup.with_embed_text(lookup.target_index(concepts, skip_generic), config.use_description)
+        encode = lambda df: vectors.embed(df, encoder, "embed_text", max_tokens=tokens)
+        return encode(index) if vector_dir is None else stores.cached_vectors(index, encode, encoder.name, vector_dir)
+
     titles = skills = None
     if config.run_titles:
-        index = vectors.embed(lookup.with_embed_text(lookup.target_index(occupations, True), config.use_description), encoder, "embed_text", max_tokens=tokens)
+        index = indexed(occupations, True)
         titles = ladder.match_titles(corpus, occupation_lookup, occupation_targets, index, embed, scorer, config.titles, config.use_clean_title, config.use_candidates)
         out = merge_stage(out, titles, ["esco_occupation", "esco_uri", "match_method"])
         out = out.withColumn("occupation", F.coalesce("esco_occupation", "occupation"))
     if config.run_skills:
-        index = vectors.embed(lookup.with_embed_text(lookup.target_index(skill_concepts), config.use_description), encoder, "embed_text", max_tokens=tokens)
+        index = indexed(skill_concepts, False)
         skills = ladder.match_skills(corpus, skill_targets, index, embed, scorer, config.skills)
         out = merge_stage(out, skills, [c for c in skills.columns if c.startswith(("skill", "n_skills"))])
     if config.drop_unmatched == "after_all":
@@ -57,7 +67,7 @@ def run(spark: SparkSession, config: Config, encoder: vectors.Encoder, scorer: v
     tables.require_files(list(files.values()))
     corpus = stores.load_all(spark, config.cached("corpus"), lambda: tables.load_corpus(spark, files[tables.POSTINGS], files[tables.SKILLS], config.sample_size), config.use_cache)
     taxonomies = tables.load_taxonomies(spark, files[tables.OCCUPATIONS_FILE], files[tables.SKILLS_FILE])
-    result = run_stages(corpus, taxonomies, config, encoder, scorer)
+    result = run_stages(corpus, taxonomies, config, encoder, scorer, os.path.join(config.cache_dir, "vectors"))
     if config.save_output:
         found = {"corpus": result.corpus, "titles": result.titles, "skills": result.skills}
         stores.save_run(spark, config.cached("run"), {k: v for k, v in found.items() if v is not None}, dataclasses.asdict(config))
