@@ -3,8 +3,8 @@
 A hash turns the unit vector by three rounds of random signs and a fast Hadamard transform and names the coordinate of
 largest magnitude with its sign. HASHES of them make a bucket; each of TABLES tables keeps a vector in its own bucket and
 in the next likely ones (multiprobe: the runner-up coordinates that lost by least). Vectors meet in any common bucket;
-cosines are verified in double precision. A pair is counted in the first bucket it has in common, so nothing is counted
-twice and no list of pairs is ever built. Equal vectors are collapsed first. Buckets are compared in blocks.
+cosines are verified in double precision. A pair is counted in one bucket it has in common, that of least key, so nothing
+is counted twice and no list of pairs is ever built. Equal vectors are collapsed first. Buckets are compared in blocks.
 """
 
 from __future__ import annotations
@@ -131,8 +131,8 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
     met = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows_ = keys.join(met, "key").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
     rows_ = rows_.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    rows_ = rows_.select("key", "cid", "blk", F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("grp"))
-    full = rows_.join(hashed, "cid").select("grp", "key", "blk", "cid", "lab", "mult", "vec", "codes")
+    rows_ = rows_.select("key", "cid", "blk", (F.col("blk") == F.col("other")).alias("alone"), F.xxhash64("key", F.least("blk", "other"), F.greatest("blk", "other")).alias("grp"))
+    full = rows_.join(hashed, "cid").select("grp", "key", "blk", "cid", "lab", "mult", "vec", "codes", "alone")
 
     def compare(_: int, cols: list[list]) -> list[tuple[bytes, bytes, int]]:
         blk, lab, mult = (np.array(cols[i]) for i in (2, 4, 5))
@@ -141,7 +141,9 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
         code = np.frombuffer(b"".join(cols[7]), np.int64).reshape(len(cid), TABLES, PROBES)
         n = len(cid)
         links, root = np.zeros(n, np.int64), np.arange(n)
-        two = blk.min() != blk.max()
+        two = not cols[8][0]
+        if two and blk.min() == blk.max():
+            return []  # the other block is empty
         left = np.flatnonzero(blk == blk.min())
         right = np.flatnonzero(blk == blk.max())
         for lo in range(0, len(left), 256):
@@ -153,12 +155,11 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
                 i, j = i[i < j], j[i < j]
             if not len(i):
                 continue
-            for s in range(0, len(i), 1 << 16):  # the first bucket in common is the one that counts
+            for s in range(0, len(i), 1 << 16):  # the common bucket of least key is the one that counts
                 p, q = i[s : s + (1 << 16)], j[s : s + (1 << 16)]
                 same = code[p][:, :, :, None] == code[q][:, :, None, :]
                 flat = same.any(3).reshape(len(p), -1)
-                k = flat.argmax(1)
-                first = _bucket_keys(lab[p], code[p]).reshape(len(p), -1)[np.arange(len(p)), k]
+                first = np.where(flat, _bucket_keys(lab[p], code[p]).reshape(len(p), -1), np.iinfo(np.int64).max).min(1)
                 count = flat.any(1) & (first == here)
                 np.add.at(links, p[count], mult[q[count]])
                 np.add.at(links, q[count], mult[p[count]])
