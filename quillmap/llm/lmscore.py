@@ -159,9 +159,9 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lex, gru = sent.value
         log_z, below = np.log10(lex.z), np.log10(lex.n + lex.v + 1)
-        log_c = np.log10(lex.c + 1.0)
+        log_c = np.append(np.log10(lex.c + 1.0), 0.0)  # place -1, unseen: the logarithm of 0 + 1
         end_p, _ = lex.find(np.array([END]))
-        end_c = log_c[end_p[0]] if end_p[0] >= 0 else 0.0
+        end_c = log_c[end_p[0]]
         held, size = [], 0
 
         def emit() -> pa.RecordBatch:
@@ -172,9 +172,9 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
             for _, ids, p, key, at in held:
                 add = lambda x, a=at: np.add.reduceat(np.append(x, 0.0), a[:-1]) * (np.diff(a) > 0) if len(a) > 1 else np.empty(0)
                 known.append(add((p >= 0).astype(float)) + (end_p[0] >= 0))
-                base.append(add(np.where(p >= 0, log_c[p], 0.0)) + end_c)
+                base.append(add(log_c[p]) + end_c)
                 # of its class an unlisted word has (c + 1) / Z
-                tail.append(add(np.where(ids >= lex.words, np.where(p >= 0, log_c[p], 0.0) - log_z[key & (CLASSES - 1)], 0.0)))
+                tail.append(add(np.where(ids >= lex.words, log_c[p] - log_z[key & (CLASSES - 1)], 0.0)))
             n = np.concatenate([np.diff(at) for *_, at in held]) + 1
             out = [pa.array(n.astype(np.int64)), pa.array(np.concatenate(known).astype(np.int64)), pa.array(np.concatenate(base) - n * below), pa.array(natural / np.log(10) + np.concatenate(tail))]
             return pa.record_batch([*cols, *out], ["id", "rk", "n_tokens", "known", "base", "own"])
