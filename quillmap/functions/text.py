@@ -69,9 +69,11 @@ def _strip_while(c: Column, pattern: str, min_words: int) -> Column:
     """Replace the pattern again and again, as long as something else of min_words words or more is left."""
 
     def once(text: Column, _: Column) -> Column:
-        less = squeeze(F.regexp_replace(text, pattern, " "))
-        stop = (less == "") | (less == text) | (F.size(F.split(less, " ")) < min_words)
-        return F.when(stop, text).otherwise(less)
+        def keep(less: Column) -> Column:
+            stop = (less == "") | (less == text) | (F.size(F.split(less, " ")) < min_words)
+            return F.when(stop, text).otherwise(less)
+
+        return _stage(squeeze(F.regexp_replace(text, pattern, " ")), keep)
 
     # Every step that changes anything shortens the text, so its word count bounds the steps.
     return F.aggregate(F.sequence(F.lit(0), F.size(F.split(c, " "))), c, once)

@@ -135,9 +135,8 @@ def top_k(queries: DataFrame, labels: DataFrame, k: int, vec: str = "embedding",
     """
     spark = queries.sparkSession
     ids = [c for c in queries.columns if c != vec]
-    first = labels.select(vec).where(F.col(vec).isNotNull()).limit(1).collect()
-    per_pass = max(1, pass_bytes // (8 * max(1, len(first[0][0]))) if first else 1)
-    top = labels.agg(F.max("label_idx")).first()[0] if first else None
+    top, dim = labels.agg(F.max("label_idx"), F.max(F.size(vec))).first()
+    per_pass = max(1, pass_bytes // (8 * max(1, dim or 1)))
     schema = ", ".join([*(f"`{n}` {t}" for n, t in queries.dtypes if n != vec), "label_idx int, score double"])
     found = None
     for lo in range(0, (top or 0) + 1, per_pass):
