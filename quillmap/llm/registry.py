@@ -1,6 +1,6 @@
 """The queries op1 to op10 and the SQL for those that SQL can express."""
 
-from . import bpe, crosspoly, kmtree, langid, linededup, lmscore, mixing, nearset, suffixes, warc
+from . import bpe, crosspoly, kmtree, langid, linededup, lmscore, mixing, nearset, oracles, suffixes, warc
 
 QUERIES = {
     "op1_bpe": bpe.op1_bpe,
@@ -15,7 +15,9 @@ QUERIES = {
     "op10_kmtree": kmtree.op10_kmtree,
 }
 ORACLES = {
+    "op2_minhash": oracles.NEAR_SETS,
     "op3_line_dedup": linededup.ORACLE,
+    "op5_suffix_dedup": oracles.REPEATS,
     "op7_crosspoly": crosspoly.ORACLE,
     "op8_warc": warc.ORACLE,
 }
