@@ -7,6 +7,8 @@ listed words, P(word | class). What an unlisted word has of its class is left to
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 import numpy as np
 
 
@@ -14,6 +16,30 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-x))
 
 
+class Adam:
+    """Adam over a model's arrays; of the input vectors only the rows that a window has are moved."""
+
+    def __init__(self, p: dict[str, np.ndarray]):
+        self.p, self.done = p, 0
+        self.m, self.v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
+
+    def step(self, grad: dict[str, np.ndarray], rows: np.ndarray, rate: float) -> None:
+        self.done += 1
+        part = {k: g[rows] if k == "x" else g for k, g in grad.items()}
+        clip = min(1.0, 5.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in part.values())) + 1e-9))
+        now, far = rate / (1 - 0.9**self.done), 1 - 0.99**self.done
+        for k, g in part.items():
+            at = rows if k == "x" else slice(None)
+            g *= clip
+            m, v = self.m[k][at], self.v[k][at]
+            m += 0.1 * (g - m)
+            g *= g
+            v += 0.01 * (g - v)
+            if k == "x":
+                self.m[k][at], self.v[k][at] = m, v
+            self.p[k][at] -= now * m / (np.sqrt(v / far) + 1e-6)
+
+
 class GRU:
     def __init__(self, freq: np.ndarray, rest: np.ndarray, hidden: int = 32, width: int = 32, seed: int = 4):
         """freq: how often each listed id was seen in the corpus; rest: how often each class of others was."""
@@ -98,23 +124,52 @@ class GRU:
             return self
         y = flat[: streams * steps].reshape(streams, steps)
         x = np.concatenate([np.zeros((streams, 1), np.int64), y[:, :-1]], 1)
-        m = {k: np.zeros_like(v) for k, v in self.p.items()}
-        v = {k: np.zeros_like(v) for k, v in self.p.items()}
-        total, done = epochs * (steps // window + 1), 0
+        adam = Adam(self.p)
+        total = epochs * (steps // window + 1)
         for _ in range(epochs):
-            h = np.zeros((streams, self.hidden), np.float32)
-            for lo in range(0, steps, window):
-                grad, h = self._window(x[:, lo : lo + window], y[:, lo : lo + window], h)
-                done += 1
-                now = rate * (1 - 0.9 * done / total)
-                norm = np.sqrt(sum(float((g * g).sum()) for g in grad.values()))
-                for k, g in grad.items():
-                    g *= min(1.0, 5.0 / (norm + 1e-9))
-                    m[k] += 0.1 * (g - m[k])
-                    v[k] += 0.01 * (g * g - v[k])
-                    self.p[k] -= (now / (1 - 0.9**done)) * m[k] / (np.sqrt(v[k] / (1 - 0.99**done)) + 1e-6)
+            self._windows(x, y, window, adam, lambda _: rate * (1 - 0.9 * (adam.done + 1) / total))
         return self
 
+    def _windows(self, x: np.ndarray, y: np.ndarray, window: int, adam: Adam, rate) -> None:
+        """Windows of parallel streams one after another; rate(targets of the window) is the step's."""
+        h = np.zeros((len(x), self.hidden), np.float32)
+        for lo in range(0, x.shape[1], window):
+            part = x[:, lo : lo + window]
+            grad, h = self._window(part, y[:, lo : lo + window], h)
+            adam.step(grad, np.unique(part), rate(part.size))
+
+    def train(self, texts: Iterable[np.ndarray], rate: float, streams: int = 256, window: int = 24, held: int = 1 << 20) -> int:
+        """One pass over any number of texts, about `held` tokens in memory at a time; every token is a target once.
+
+        Returns how many there were. Few tokens are dealt to few streams; windows of few targets take shorter steps.
+        """
+        adam, parts, size, seen = Adam(self.p), [], 0, 0
+        slower = lambda n: rate * min(1.0, n / (64 * window)) ** 0.5
+
+        def run(last: bool) -> np.ndarray:
+            nonlocal seen
+            flat = np.concatenate(parts)
+            while len(flat):
+                n = max(1, min(streams, len(flat) // (64 * window)))
+                steps = len(flat) // n
+                y = flat[: n * steps].reshape(n, steps)
+                self._windows(np.concatenate([np.zeros((n, 1), np.int64), y[:, :-1]], 1), y, window, adam, slower)
+                seen += n * steps
+                flat = flat[n * steps :]
+                if not last:
+                    break
+            return flat
+
+        for t in texts:
+            parts.append(np.append(t, 0))
+            size += len(parts[-1])
+            if size >= held:
+                parts = [run(False)]
+                size = len(parts[0])
+        if size:
+            run(True)
+        return seen
+
     def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
         """Gradients of the mean loss over a window, and the state after it. A text's first step starts from no state."""
         n, steps, k = len(x), x.shape[1], self.hidden
@@ -150,15 +205,19 @@ class GRU:
                 dh[i] += s @ self.p["w"][c].T
         dh = dh.reshape(steps, n, k)
         back = np.zeros((n, k), np.float32)
+        moved = np.empty((steps, n, 3 * k), dh.dtype)
         for t in range(steps - 1, -1, -1):
             before, start, r, z, cand, un, _ = kept[t]
             d = dh[t] + back
             dn = d * (1 - z) * (1 - cand * cand)
             dz = d * (before - cand) * z * (1 - z)
             dr = dn * un * r * (1 - r)
-            da = np.concatenate([dr, dz, dn], 1)
+            moved[t] = np.concatenate([dr, dz, dn], 1)
             db = np.concatenate([dr, dz, dn * r], 1)
-            np.add.at(g["x"], x[:, t], da)
             g["u"] += before.T @ db
             back = (d * z + db @ self.p["u"].T) * start
+        ids = x.T.reshape(-1)
+        order = np.argsort(ids, kind="stable")
+        rows, first = np.unique(ids[order], return_index=True)
+        g["x"][rows] = np.add.reduceat(moved.reshape(-1, 3 * k)[order], first)
         return g, h

@@ -1,7 +1,9 @@
 """Language-model scoring of whole documents.
 
-Words are counted exactly over all training documents. The most frequent ones are listed in a gated recurrent model
-(see gru.py) trained on a bounded sample; it also gives the probability of 16 classes of other words (by letters beyond
+Words are counted exactly over all training documents. The most frequent ones (their number grows with the square root of
+the tokens) are listed in a gated recurrent model (see gru.py). It is first fitted to a small sample; then, in each of
+ROUNDS rounds, every partition of the training documents trains a copy on all of its text, and the copies are averaged by
+tokens. So the scores depend a little on how the table is partitioned, as any order of training does. The model also gives the probability of 16 classes of other words (by letters beyond
 ASCII, punctuation, digits and length). Of its class an unlisted word has the share (c + 1) / Z, by its corpus count. So
 the score is a proper log probability over all words, seen or not, and what it gathers grows with the corpus.
 
@@ -11,22 +13,29 @@ words in an equi-join.
 
 from __future__ import annotations
 
+import copy
+import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bounded_batches, read_table, row_key, utf8_buffer, written
+from ._common import bounded_batches, drop_written, read_table, row_key, utf8_buffer, written
 from .gru import GRU
 from .shingles import word_spans
 
-#: Words listed in the model; words whose counts are sent to executors; tokens the model is trained on, about.
+#: Words listed in the model at least (at most those sent); words whose counts are sent to executors; tokens the model is
+#: first fitted to on the driver, about: a corpus of no more is learned there, any larger one in rounds over all of it.
 LISTED, SENT, TRAIN_TOKENS = 2048, 1 << 18, 300_000
 #: Tokens scored side by side, and distinct words a task counts before it hands them on.
 TOGETHER, HELD = 1_500_000, 2_000_000
 CLASSES, END = 16, 0
+#: Passes over all training text; weights in a row of a copy, and copies averaged in one group.
+ROUNDS, PIECE, FAN_IN = 2, 1 << 16, 32
 _ASCII_LETTER = np.array([97 <= b <= 122 or 65 <= b <= 90 for b in range(256)])
 
 
@@ -85,7 +94,8 @@ class Lexicon:
     """Counts of the frequent words, which of them the model lists, and what the corpus has in all."""
 
     def __init__(self, key: np.ndarray, c: np.ndarray, n: int, v: int, class_sum: np.ndarray, class_n: np.ndarray):
-        listed = [int(k) for k in key[: LISTED - 1].tolist() if k != END][: LISTED - 1]
+        most = max(LISTED, math.isqrt(n)) - 1
+        listed = [int(k) for k in key[:most].tolist() if k != END]
         ident = {k: i + 1 for i, k in enumerate(listed)} | {END: 0}
         order = np.argsort(key)
         self.key, self.c = key[order], c[order]
@@ -108,6 +118,49 @@ class Lexicon:
         return p, np.where(i >= 0, i, self.words + (key & (CLASSES - 1)))
 
 
+def train(ids: DataFrame, model: GRU, rate: float = 4e-3) -> list[int]:
+    """Train the model on every row of ids (binary, int32) in rounds; returns the tokens each round learned from.
+
+    A task holds one copy and about a million tokens; copies meet piece by piece in a tree of bounded fan-in, and the
+    driver gets one copy's worth. Within a round the rate stands, from round to round it falls.
+    """
+    spark = ids.sparkSession
+    names = sorted(model.p)
+    cuts = np.cumsum([model.p[k].size for k in names])
+    seen, kinds = [], "pid long, piece int, n long, v binary"
+
+    def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values("pid")
+        n = rows["n"].sum()
+        v = sum(np.frombuffer(x, np.float32) * (m / n) for x, m in zip(rows["v"], rows["n"], strict=True))
+        return pd.DataFrame({"pid": [int(key[0])], "piece": [int(key[1])], "n": [int(n)], "v": [v.astype(np.float32).tobytes()]})
+
+    for r in range(ROUNDS):
+        sent = spark.sparkContext.broadcast(model)
+        now = rate * (1 - 0.9 * (r + 0.5) / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], sent=sent, now=now) -> Iterator[pa.RecordBatch]:
+            own = copy.copy(sent.value)
+            own.p = {k: v.copy() for k, v in own.p.items()}
+            n = own.train((np.frombuffer(x, np.int32).astype(np.int64) for b in batches for x in b.column(0).to_pylist()), now)
+            if n:
+                flat = np.concatenate([own.p[k].reshape(-1) for k in names])
+                for i, lo in enumerate(range(0, len(flat), PIECE)):
+                    yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([i], pa.int32()), pa.array([n], pa.int64()), pa.array([flat[lo : lo + PIECE].tobytes()], pa.binary())], ["pid", "piece", "n", "v"])
+
+        parts = ids.mapInArrow(run, kinds)
+        left = max(2, ids.rdd.getNumPartitions())
+        while left > 1:
+            parts = parts.groupBy(F.expr(f"pid div {FAN_IN}").alias("pid"), "piece").applyInPandas(add, kinds)
+            left = math.ceil(left / FAN_IN)
+        got = sorted(parts.collect(), key=lambda x: x["piece"])
+        seen.append(got[0]["n"] if got else 0)
+        if got:
+            flat = np.concatenate([np.frombuffer(x["v"], np.float32) for x in got])
+            model.p = {k: v.reshape(model.p[k].shape).copy() for k, v in zip(names, np.split(flat, cuts[:-1]), strict=True)}
+    return seen
+
+
 def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon, GRU]:
     """The counts of all words of these documents, the lexicon and the trained model."""
     spark = docs.sparkSession
@@ -122,25 +175,31 @@ def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon,
         sums[r["k"]], sizes[r["k"]] = r["c"], r["n"]
     lexicon = Lexicon(top.column("key").to_numpy(), top.column("c").to_numpy(), n, v, sums, sizes)
     share = min(1.0, TRAIN_TOKENS / max(1, n))
-    picked = texts.where(F.pmod(F.xxhash64("t", F.lit(4)), F.lit(1 << 30)) < int(share * (1 << 30)))
+    picked = F.pmod(F.xxhash64("t", F.lit(4)), F.lit(1 << 30)) < int(share * (1 << 30))
     sent = spark.sparkContext.broadcast(lexicon)
 
     def as_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
                 key, at = word_keys(*utf8_buffer(b.column(0)))
-                i = sent.value.find(key)[1].astype(np.int16)
-                yield pa.record_batch([pa.array([i[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["ids"])
+                i = sent.value.find(key)[1].astype(np.int32)
+                yield pa.record_batch([pa.array([i[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()), b.column(1)], ["ids", "picked"])
 
+    ids = texts.select("t", picked.alias("picked")).mapInArrow(as_ids, "ids binary, picked boolean")
+    ids = ids if share == 1 else written(ids, "lm-ids")
     # Whole documents of the sample in an order of their own; past the bound no more are taken.
-    rows = sorted(bytes(r["ids"]) for r in picked.mapInArrow(as_ids, "ids binary").collect())
+    rows = sorted(bytes(r["ids"]) for r in ids.where("picked").collect())
     rng = np.random.default_rng(4)
     sample, size = [], 0
     for i in rng.permutation(len(rows)).tolist():
         if size < 1.5 * TRAIN_TOKENS:
-            sample.append(np.frombuffer(rows[i], np.int16).astype(np.int64))
+            sample.append(np.frombuffer(rows[i], np.int32).astype(np.int64))
             size += len(sample[-1]) + 1
-    return counts, lexicon, GRU(lexicon.freq, lexicon.rest).fit(sample)
+    model = GRU(lexicon.freq, lexicon.rest, width=max(32, math.isqrt(lexicon.words) if lexicon.words > LISTED else 0)).fit(sample)
+    if share < 1:
+        train(ids.select("ids"), model)
+        drop_written(spark, ids)
+    return counts, lexicon, model
 
 
 def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -248,3 +248,22 @@ def test_scores(spark, docs, monkeypatch):
     assert all(r.score < 0 for r in out)
     nothing = lmscore.score(frame, *lmscore.learn(docs([]))).collect()
     assert len(nothing) == len(rows) and all(r.n_known == 0 for r in nothing) and lmscore.score(docs([]), *lmscore.learn(docs([]))).count() == 0
+
+
+def test_model_learns_from_all_text(spark, docs, monkeypatch):
+    monkeypatch.setattr(lmscore, "TRAIN_TOKENS", 300)
+    monkeypatch.setattr(lmscore, "LISTED", 8)
+    rng = random.Random(4)
+    words = [f"w{i}" for i in range(40)]
+
+    def text(i):
+        at = rng.randrange(40)
+        return " ".join(words[(at + j) % 40] for j in range(20 + i % 30))
+
+    frame = docs([(i, text(i), "en", "s") for i in range(2000)]).repartition(3)
+    counts, lexicon, model = lmscore.learn(frame)
+    assert lexicon.words == 41 and lexicon.n > 8 * 40 * 40  # listed words grow beyond LISTED: isqrt(n) of them here
+    out = lmscore.score(frame, counts, lexicon, model).agg({"score": "sum", "n_tokens": "sum"}).first()
+    assert out["sum(score)"] / out["sum(n_tokens)"] > -1.2  # a uniform guess among 40 words is -1.6
+    ids = spark.createDataFrame([(np.arange(n, dtype=np.int32).tobytes(),) for n in (0, 1, 5, 40, 3)], "ids binary").repartition(3)
+    assert lmscore.train(ids, gru.GRU(np.ones(40), np.ones(16))) == [54, 54]  # each token, ends included, once a round
