@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import Config
@@ -219,6 +219,51 @@ def ce_rerank_argmax(spark, sf):
     return best.select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), "ce_score", *r6("bi_score"))
 
 
+# The four above stand on 100 query ids, as their SQL does. These query every row whose id is divisible by 20 against all others.
+
+_EACH = """with q as (select vec_id, embedding::double[] as e from embeddings where vec_id % 20 = 0), l as (select vec_id as label_idx, embedding::double[] as e from embeddings),
+  r as (select q.vec_id, label_idx, round(list_inner_product(q.e, l.e), 9) as score, row_number() over (partition by q.vec_id order by round(list_inner_product(q.e, l.e), 9) desc, label_idx) as rank from q, l where label_idx <> q.vec_id qualify rank <= 5),
+  b as (select a.vec_id, a.label_idx, a.score, a.score - c.score as margin from r a left join r c on c.vec_id = a.vec_id and c.rank = 2 where a.rank = 1)"""
+
+
+def _ranks_of_each(spark, sf, k=5):
+    rows = P.table(spark, sf, "embeddings").select("vec_id", "embedding")
+    labels = rows.select(F.col("vec_id").cast("int").alias("label_idx"), "embedding")
+    found = vectors.top_k(rows.where("vec_id % 20 = 0"), labels, k + 1).where("label_idx != vec_id")
+    place = F.row_number().over(Window.partitionBy("vec_id").orderBy("rank"))
+    return found.withColumn("rank", place).where(F.col("rank") <= k)
+
+
+def _scores_of_each(spark, sf):
+    return vectors.best_with_margin(_ranks_of_each(spark, sf), "vec_id")
+
+
+@query(_EACH + " select vec_id, label_idx::bigint as label_idx, rank, round(score, 6) as score from r")
+def vector_topk_all(spark, sf):
+    return _ranks_of_each(spark, sf).select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), F.col("rank").cast("long").alias("rank"), *r6("score"))
+
+
+@query(_EACH + " select vec_id, label_idx::bigint as label_idx, round(score, 6) as score, round(margin, 6) as margin from b")
+def vector_margin_all(spark, sf):
+    return _scores_of_each(spark, sf).select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), *r6("score", "margin"))
+
+
+@query(_EACH + " select vec_id, case when score >= 0.5 then 'embedding' when score >= 0.35 and margin >= 0.02 then 'embedding_margin' end as method from b")
+def ladder_verdict_all(spark, sf):
+    from ..config import Ladder
+
+    method = ladder.verdict(F.col("score"), F.col("margin"), Ladder(similarity=0.5, margin_min_score=0.35, margin=0.02))
+    return _scores_of_each(spark, sf).select("vec_id", method.alias("method"))
+
+
+@query(_EACH + """ select vec_id, label_idx::bigint as label_idx, ce_score, round(score, 6) as bi_score from (
+    select *, ((vec_id * 31 + label_idx * 17) % 5)::double / 5 as ce_score from r) qualify row_number() over (partition by vec_id order by ce_score desc, rank) = 1""")
+def ce_rerank_argmax_all(spark, sf):
+    scorer = ((F.col("vec_id") * 31 + F.col("label_idx") * 17) % 5).cast("double") / 5
+    best = vectors.best_pair(vectors.score_pairs(_ranks_of_each(spark, sf), scorer), "vec_id")
+    return best.select("vec_id", F.col("label_idx").cast("long").alias("label_idx"), "ce_score", *r6("bi_score"))
+
+
 # --- ladders -----------------------------------------------------------------------------------------------------
 
 
