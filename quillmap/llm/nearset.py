@@ -1,10 +1,12 @@
 """Near-duplicate documents by a chosen-path similarity join over sets of word shingles.
 
 1. Each document becomes its set of shingles, known by a 128-bit hash of the set; equal sets are one class.
-2. Trees: in each of TREES independent trees a class goes down the branch named by its minwise token. Nodes with one class
+2. Trees: in each of a number of independent trees a class goes down the branch named by its minwise token. Nodes with one class
    are done; those of up to NODE classes are compared exhaustively on sketches; larger ones branch again, up to DEPTH
    tokens deep. A pair of similarity s stays together at d tokens with probability s^d in each tree, so all trees miss it
-   with probability (1 - s^d)^TREES: 7e-14 for s = 0.85 where one token sets a node apart, 8e-6 at four.
+   with probability (1 - s^d)^trees. trees_for() takes as many that at DEPTH tokens, where nodes stay crowded, this is
+   MISS at most for a pair just at the threshold: 20 for s = 0.85 (7.7e-5 at six tokens; 16 trees: 5e-4), 31 for s = 0.8
+   (8.1e-5; 16 trees: 0.8%).
 3. What the sketches hold to be similar, with a margin of four standard deviations, and what is still together in a large
    node at the bottom, makes rough clusters.
 4. Within each rough cluster links are confirmed on full sets. Only documents outside the cluster's largest component have
@@ -17,7 +19,9 @@
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,25 +31,37 @@ from pyspark.sql import functions as F
 from ._common import bounded_batches, components, drop_written, mix64, read_table, row_key, utf8_buffer, written
 from .shingles import shingle_sets
 
-TREES, DEPTH, NODE = 16, 6, 48
+DEPTH, NODE = 6, 48
+#: Trees at least, and the chance that all trees miss a pair at the threshold, at most.
+TREES, MISS = 16, 1e-4
 #: Shingles, and documents, of a cluster (or chunk of one) that one task compares.
 TASK_SHINGLES, TASK_DOCS = 1 << 20, 2_000
 
-_A = (mix64(np.arange(1, TREES * DEPTH + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-_B = (mix64(np.arange(5001, 5001 + TREES * DEPTH, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
 
+def trees_for(similarity: float) -> int:
+    """So many trees that a pair of this similarity is missed by all, at DEPTH tokens, with probability MISS at most."""
+    together = similarity**DEPTH
+    return TREES if together >= 1 else max(TREES, math.ceil(math.log(MISS) / math.log1p(-together)))
 
-def minwise(s: np.ndarray) -> np.ndarray:
-    """The TREES * DEPTH minwise values of a set of 64-bit hashes."""
+
+@lru_cache
+def _hashes(width: int) -> tuple[np.ndarray, np.ndarray]:
+    a = (mix64(np.arange(1, width + 1, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+    return a, (mix64(np.arange(5001, 5001 + width, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
+
+
+def minwise(s: np.ndarray, trees: int) -> np.ndarray:
+    """The trees * DEPTH minwise values of a set of 64-bit hashes."""
+    a, b = _hashes(trees * DEPTH)
     h = (s >> np.uint64(32)).astype(np.uint32)
-    out = np.full(len(_A), 0xFFFFFFFF, np.uint32)
+    out = np.full(len(a), 0xFFFFFFFF, np.uint32)
     for lo in range(0, len(h), 4096):  # bounds memory for long texts
         part = h[lo : lo + 4096]
-        np.minimum(out, (part[None, :] * _A[:, None] + _B[:, None]).min(1), out=out)
+        np.minimum(out, (part[None, :] * a[:, None] + b[:, None]).min(1), out=out)
     return out
 
 
-def sketches(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+def sketches(docs: DataFrame, k: int, trees: int, id_col: str, text_col: str) -> DataFrame:
     """(_id, _rk, n, cls, mh): set size, the set's 128-bit hash (null if empty) and its minwise values."""
     rows = docs.select(F.col(id_col).alias("_id"), row_key(id_col, text_col).alias("_rk"), F.col(text_col).alias("_text"))
     kind = dict(rows.dtypes)["_id"]
@@ -55,13 +71,13 @@ def sketches(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
             if b.num_rows:
                 sets = shingle_sets(*utf8_buffer(b.column(2)), k)
                 cls = [hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None for s in sets]
-                mh = [minwise(s).tobytes() if len(s) else None for s in sets]
+                mh = [minwise(s, trees).tobytes() if len(s) else None for s in sets]
                 yield pa.record_batch([b.column(0), b.column(1), pa.array([len(s) for s in sets], pa.int64()), pa.array(cls, pa.binary()), pa.array(mh, pa.binary())], ["_id", "_rk", "n", "cls", "mh"])
 
     return rows.mapInArrow(run, f"_id {kind}, _rk long, n long, cls binary, mh binary")
 
 
-def _branches(classes: DataFrame) -> DataFrame:
+def _branches(classes: DataFrame, trees: int) -> DataFrame:
     """(key, cls, path): a row for each class and tree; key names the node after one token, path has the tokens below."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -69,12 +85,12 @@ def _branches(classes: DataFrame) -> DataFrame:
             n = b.num_rows
             if not n:
                 continue
-            mh = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(n, TREES, DEPTH)
-            key = mix64(mh[:, :, 0].astype(np.uint64) + (np.arange(1, TREES + 1, dtype=np.uint64) << np.uint64(32))[None, :])
-            path = np.ascontiguousarray(mh[:, :, 1:]).reshape(n * TREES, -1).tobytes()
+            mh = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint32).reshape(n, trees, DEPTH)
+            key = mix64(mh[:, :, 0].astype(np.uint64) + (np.arange(1, trees + 1, dtype=np.uint64) << np.uint64(32))[None, :])
+            path = np.ascontiguousarray(mh[:, :, 1:]).reshape(n * trees, -1).tobytes()
             width = 4 * (DEPTH - 1)
             yield pa.record_batch(
-                [pa.array(key.reshape(-1).view(np.int64)), b.column(0).take(pa.array(np.repeat(np.arange(n), TREES))), pa.Array.from_buffers(pa.binary(width), n * TREES, [None, pa.py_buffer(path)]).cast(pa.binary())],
+                [pa.array(key.reshape(-1).view(np.int64)), b.column(0).take(pa.array(np.repeat(np.arange(n), trees))), pa.Array.from_buffers(pa.binary(width), n * trees, [None, pa.py_buffer(path)]).cast(pa.binary())],
                 ["key", "cls", "path"],
             )
 
@@ -121,7 +137,7 @@ def _grouped(df: DataFrame, key: str, schema: str, f) -> DataFrame:
 def rough_links(classes: DataFrame, similarity: float) -> DataFrame:
     """(a, b): links of a forest whose components hold every pair that reaches the similarity, but for what all trees miss."""
     spark = classes.sparkSession
-    cur, small, tables = _branches(classes), [], []
+    cur, small, tables = _branches(classes, trees_for(similarity)), [], []
     edges = None
     for depth in range(DEPTH):
         cur = written(cur, "node-rows") if depth == 0 else cur
@@ -145,7 +161,7 @@ def rough_links(classes: DataFrame, similarity: float) -> DataFrame:
     same = rows.groupBy("key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("cls")).alias("x"), F.bit_xor(F.xxhash64("cls", F.lit(1))).alias("y"))
     once = same.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
     rows = rows.join(once, "key", "left_semi").join(classes.select("cls", "mh"), "cls").select("key", "cls", "mh")
-    width = TREES * DEPTH
+    width = trees_for(similarity) * DEPTH
     least = similarity - 4.2 * (similarity * (1 - similarity) / width) ** 0.5
 
     def compare(_: int, cols: list[list]) -> list[tuple[bytes, bytes]]:
@@ -241,7 +257,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    all_rows = written(sketches(docs, k, id_col, text_col), "sketches")
+    all_rows = written(sketches(docs, k, trees_for(num / den), id_col, text_col), "sketches")
     lead = F.struct(F.col("_id").isNull().alias("none"), "_id", "_rk")
     classes = written(all_rows.where("cls is not null").groupBy("cls").agg(F.min(lead).alias("first"), F.min("n").alias("n"), F.min("mh").alias("mh")), "classes")
     rough = rough_links(classes, num / den)
@@ -278,7 +294,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, k: int, num
     full = written(full, "members-text")
     inner = _confirm(full.where("chunks = 1").select(F.xxhash64("cluster").alias("grp"), F.lit(1).alias("role"), "cls", "text"), num, den, k)
     # The most central member: its sketch agrees most with the values most common in its cluster.
-    width = TREES * DEPTH
+    width = trees_for(num / den) * DEPTH
     large = member.join(big, "cluster").select("cluster", "cls", F.posexplode(F.expr(f"transform(sequence(0, {width - 1}), i -> substring(mh, 4 * i + 1, 4))")).alias("pos", "v"))
     votes = large.groupBy("cluster", "pos", "v").agg(F.count("*").alias("c"))
     modal = votes.groupBy("cluster", "pos").agg(F.max_by("v", F.struct("c", "v")).alias("v"))

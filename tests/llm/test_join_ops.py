@@ -60,6 +60,13 @@ def test_near_duplicates(spark, docs, monkeypatch, small):
     assert nearset.near_duplicates(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("num", [80, 85, 95])
+def test_trees_reach_the_target(num):
+    trees, s = nearset.trees_for(num / 100), num / 100
+    assert (1 - s**nearset.DEPTH) ** trees <= 1e-4
+    assert len(nearset.minwise(np.arange(9, dtype=np.uint64), trees)) == trees * nearset.DEPTH
+
+
 def test_near_stage(spark, docs):
     rng = random.Random(1)
     rows = [(i, t, "en", "s") for i, t in enumerate([*family(rng, 9, 2), "alone in the world", "", None])] + [(50, "same row here", "en", "s")] * 3
