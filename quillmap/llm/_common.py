@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -11,23 +12,27 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows an Arrow batch holds at most; whole texts are batched, so this bounds a worker's memory.
-BATCH_ROWS = 500
+#: Bytes an Arrow batch holds, about; whole texts are batched, so this bounds a worker's memory whatever their length.
+BATCH_BYTES = 2 << 20
+_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep Arrow batches of whole texts small: a batch is held in memory on both sides."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+def bounded_batches(spark: SparkSession) -> None:
+    """Bound Arrow batches by their bytes, the same for all operators; a bound that the caller has set stands."""
+    if spark.conf.get(_BYTES, None) is None:
+        spark.conf.set(_BYTES, str(BATCH_BYTES))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or where it is unset (tests) a folder of our own."""
+    """The folder all executors share: spark.checkpoint.dir. Where it is unset and all run on one machine, one of our own."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="quillmap-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
@@ -37,11 +42,11 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/quillmap-{name}-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Cut the lineage: write to the shared folder, read back. Survives the loss of any executor."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """Cut the lineage: write to the shared folder (in a folder for each value of `by`), read back. Survives the loss of any executor."""
     spark = df.sparkSession
     path = new_path(spark, name)
-    df.write.parquet(path)
+    (df.write.partitionBy(by) if by else df.write).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,10 +54,9 @@ def drop_written(spark: SparkSession, *frames: DataFrame) -> None:
     """Remove stage tables that nothing reads any more."""
     jvm = spark.sparkContext._jvm
     for df in frames:
-        for top in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            if "/quillmap-" in top:
-                p = jvm.org.apache.hadoop.fs.Path(top)
-                p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+        for top in {m[0] for f in df.inputFiles() if (m := re.match(r".*/quillmap-[^/]*-[0-9a-f]{32}(?=/)", f))}:
+            p = jvm.org.apache.hadoop.fs.Path(top)
+            p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def map_arrow(df: DataFrame, f: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: str) -> DataFrame:
