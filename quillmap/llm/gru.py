@@ -1,8 +1,9 @@
 """A gated recurrent language model in numpy: class-factored softmax, truncated backpropagation, state carried on.
 
 Token ids: 0 is the end (and what stands before the first word), 1 to words - 1 the most frequent words, then one id for
-each class of other words. Words form classes of `width` ids in order of frequency; the model gives P(class) and, for
-listed words, P(word | class). What an unlisted word has of its class is left to the caller.
+each class of other words. Listed words form classes in order of frequency, each of an equal share of the square roots of
+the frequencies: frequent words stand in small classes, so that most steps have few outputs. The model gives P(class) and,
+for listed words, P(word | class). What an unlisted word has of its class is left to the caller.
 """
 
 from __future__ import annotations
@@ -11,9 +12,17 @@ from collections.abc import Iterable
 
 import numpy as np
 
+#: Outputs beyond it are cut to it, in training and scoring alike: the softmax needs no largest output then.
+MOST = 60.0
+
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-x))
+    """1 / (1 + exp(-x)), in place."""
+    x *= 0.5
+    np.tanh(x, out=x)
+    x += 1
+    x *= 0.5
+    return x
 
 
 class Adam:
@@ -22,92 +31,123 @@ class Adam:
     def __init__(self, p: dict[str, np.ndarray]):
         self.p, self.done = p, 0
         self.m, self.v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
+        self.held = {k: np.empty_like(a) for k, a in p.items() if k != "x"}
 
     def step(self, grad: dict[str, np.ndarray], rows: np.ndarray, rate: float) -> None:
+        """grad["x"] has the gradients of these rows only."""
         self.done += 1
-        part = {k: g[rows] if k == "x" else g for k, g in grad.items()}
-        clip = min(1.0, 5.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in part.values())) + 1e-9))
+        clip = min(1.0, 5.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) + 1e-9))
         now, far = rate / (1 - 0.9**self.done), 1 - 0.99**self.done
-        for k, g in part.items():
-            at = rows if k == "x" else slice(None)
-            g *= clip
-            m, v = self.m[k][at], self.v[k][at]
-            m += 0.1 * (g - m)
-            g *= g
-            v += 0.01 * (g - v)
-            if k == "x":
-                self.m[k][at], self.v[k][at] = m, v
-            self.p[k][at] -= now * m / (np.sqrt(v / far) + 1e-6)
+        for k, g in grad.items():
+            part = k == "x"
+            m, v = (self.m[k][rows], self.v[k][rows]) if part else (self.m[k], self.v[k])
+            t = np.empty_like(m) if part else self.held[k]
+            np.multiply(g, 0.1 * clip, out=t)
+            m *= 0.9
+            m += t
+            np.multiply(g, g, out=t)
+            t *= 0.01 * clip * clip
+            v *= 0.99
+            v += t
+            if part:
+                self.m[k][rows], self.v[k][rows] = m, v
+            np.sqrt(v, out=t)
+            t *= far**-0.5
+            t += 1e-6
+            np.divide(m, t, out=t)
+            t *= now
+            if part:
+                self.p[k][rows] -= t
+            else:
+                self.p[k] -= t
 
 
 class GRU:
     def __init__(self, freq: np.ndarray, rest: np.ndarray, hidden: int = 32, width: int = 32, seed: int = 4):
-        """freq: how often each listed id was seen in the corpus; rest: how often each class of others was."""
+        """freq: how often each listed id was seen in the corpus; rest: how often each class of others was; width: a class's mean size."""
         rng = np.random.default_rng(seed)
-        self.words, self.rest, self.width, self.hidden = len(freq), len(rest), width, hidden
-        self.listed = -(-self.words // width)
+        self.words, self.rest, self.hidden = len(freq), len(rest), hidden
+        listed = -(-self.words // width)
+        f = np.asarray(freq, float) + 0.5
+        root = np.cumsum(np.sqrt(f))
+        own = np.minimum((root - np.sqrt(f) / 2) * (listed / root[-1]), listed - 1).astype(np.int64)
+        _, first, own = np.unique(np.maximum.accumulate(own), return_index=True, return_inverse=True)  # a class without words is none
+        self.listed, self.first = len(first), np.append(first, self.words)
+        self.own = np.concatenate([own, np.arange(self.rest) + self.listed])
         n_class = self.listed + self.rest
         small = lambda *s: (rng.standard_normal(s) * 0.08).astype(np.float32)
-        f = np.zeros(self.listed * width)
-        f[: self.words] = freq + 0.5
-        per = f.reshape(self.listed, width)
-        mass = np.concatenate([per.sum(1), rest + 0.5])
-        with np.errstate(divide="ignore"):
-            inner = np.where(per > 0, np.log(per / per.sum(1, keepdims=True)), -1e9)
+        per = np.add.reduceat(f, first)
+        mass = np.concatenate([per, np.asarray(rest, float) + 0.5])
         self.p = {
             "x": small(self.words + self.rest, 3 * hidden), "u": small(hidden, 3 * hidden),
             "c": small(hidden, n_class), "cb": np.log(mass / mass.sum()).astype(np.float32),
-            "w": small(self.listed, hidden, width), "wb": inner.astype(np.float32),
+            "w": small(self.words, hidden), "wb": np.log(f / per[own]).astype(np.float32),
         }
 
-    def class_of(self, ids: np.ndarray) -> np.ndarray:
-        return np.where(ids < self.words, ids // self.width, self.listed + ids - self.words)
-
     def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state, and what its gradient needs: both gates side by side, the candidate, what the state gave it."""
         k = self.hidden
         a, b = self.p["x"][x], h @ self.p["u"]
-        g = _sigmoid(a[:, : 2 * k] + b[:, : 2 * k])
-        r, z = g[:, :k], g[:, k:]
-        n = np.tanh(a[:, 2 * k :] + r * b[:, 2 * k :])
-        return n + z * (h - n), r, z, n, b[:, 2 * k :]
+        un = b[:, 2 * k :]
+        g = _sigmoid(np.add(a[:, : 2 * k], b[:, : 2 * k], out=a[:, : 2 * k]))
+        n = a[:, 2 * k :]
+        n += g[:, :k] * un
+        np.tanh(n, out=n)
+        new = h - n
+        new *= g[:, k:]
+        new += n
+        return new, g, n, un
+
+    def _outputs(self, h: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(outputs, their exponentials, the sums of these)."""
+        s = h @ w
+        s += bias
+        np.clip(s, -MOST, MOST, out=s)
+        e = np.exp(s)
+        return s, e, e @ np.ones(e.shape[1], e.dtype)
+
+    def _classes(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]:
+        """Targets in the order of their classes, the classes in this order, and of classes of several words (first word, end, first place, end)."""
+        own = self.own[target]
+        order = np.argsort(own.astype(np.int16) if self.listed + self.rest < 1 << 15 else own, kind="stable")
+        own = own[order]
+        cuts = np.searchsorted(own, np.arange(self.listed + 1)).tolist()
+        first = self.first.tolist()
+        return order, own, [(lo, hi, a, b) for lo, hi, a, b in zip(first, first[1:], cuts, cuts[1:], strict=False) if b > a and hi - lo > 1]
 
     def log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural logarithms of P(class) P(word | class), or of P(class) for unlisted words."""
-        k = self.class_of(target)
-        s = h @ self.p["c"] + self.p["cb"]
-        top = s.max(1)
-        out = s[np.arange(len(k)), k] - top - np.log(np.exp(s - top[:, None]).sum(1))
-        order = np.argsort(k, kind="stable")
-        cuts = np.searchsorted(k[order], np.arange(self.listed + 1))
-        for c in range(self.listed):
-            i = order[cuts[c] : cuts[c + 1]]
-            if len(i):
-                s = h[i] @ self.p["w"][c] + self.p["wb"][c]
-                top = s.max(1)
-                out[i] += s[np.arange(len(i)), target[i] - c * self.width] - top - np.log(np.exp(s - top[:, None]).sum(1))
+        order, own, classes = self._classes(target)
+        h, target = h[order], target[order]
+        s, _, z = self._outputs(h, self.p["c"], self.p["cb"])
+        got = s[np.arange(len(own)), own] - np.log(z)
+        for lo, hi, a, b in classes:
+            s, _, z = self._outputs(h[a:b], self.p["w"][lo:hi].T, self.p["wb"][lo:hi])
+            got[a:b] += s[np.arange(b - a), target[a:b] - lo] - np.log(z)
+        out = np.empty_like(got)
+        out[order] = got
         return out
 
     def score(self, texts: list[np.ndarray], window: int = 32) -> np.ndarray:
         """The log probability (natural) of each whole text's ids, the end included: windows carry the state on."""
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
         lengths = np.array([len(texts[i]) + 1 for i in order])
+        flat = np.concatenate([np.append(texts[i], 0) for i in order]) if texts else np.empty(0, np.int64)
+        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if texts else lengths
         total = np.zeros(len(texts))
         h = np.zeros((len(texts), self.hidden), np.float32)
         last = np.zeros(len(texts), np.int64)
         for lo in range(0, int(lengths.max(initial=0)), window):
             n = int(np.searchsorted(-lengths, -lo, side="left"))  # texts longer than lo come first
-            ids = np.zeros((n, window), np.int64)
-            for j in range(n):
-                part = texts[order[j]][lo : lo + window]
-                ids[j, : len(part)] = part
             live = np.minimum(lengths[:n] - lo, window)
             held, wanted, owner = [], [], []
-            for t in range(min(window, int(live.max()))):
+            for t in range(int(live.max())):
                 m = int(np.searchsorted(-live, -t, side="left"))
-                h[:m] = self.step(last[:m], h[:m])[0]
-                last[:m] = ids[:m, t]
-                held.append(h[:m].copy())
-                wanted.append(ids[:m, t])
+                new = self.step(last[:m], h[:m])[0]
+                h[:m] = new
+                last[:m] = now = flat[begin[:m] + (lo + t)]
+                held.append(new)
+                wanted.append(now)
                 owner.append(np.arange(m))
             got = self.log_probs(np.concatenate(held), np.concatenate(wanted))
             total[:n] += np.bincount(np.concatenate(owner), got, n)
@@ -135,8 +175,8 @@ class GRU:
         h = np.zeros((len(x), self.hidden), np.float32)
         for lo in range(0, x.shape[1], window):
             part = x[:, lo : lo + window]
-            grad, h = self._window(part, y[:, lo : lo + window], h)
-            adam.step(grad, np.unique(part), rate(part.size))
+            grad, rows, h = self._window(part, y[:, lo : lo + window], h)
+            adam.step(grad, rows, rate(part.size))
 
     def train(self, texts: Iterable[np.ndarray], rate: float, streams: int = 256, window: int = 24, held: int = 1 << 20) -> int:
         """One pass over any number of texts, about `held` tokens in memory at a time; every token is a target once.
@@ -170,54 +210,62 @@ class GRU:
             run(True)
         return seen
 
-    def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray]:
-        """Gradients of the mean loss over a window, and the state after it. A text's first step starts from no state."""
+    def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+        """Gradients of the mean loss over a window (of "x" for the rows returned), and the state after it.
+
+        A text's first step starts from no state.
+        """
         n, steps, k = len(x), x.shape[1], self.hidden
-        g = {a: np.zeros_like(b) for a, b in self.p.items()}
-        kept = []
+        kind = self.p["u"].dtype
+        g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("w", "wb")}
+        start = (x.T != 0).astype(kind)[:, :, None]
+        before, gate, cand, un, states = (np.empty((steps, n, s), kind) for s in (k, 2 * k, k, k, k))
         for t in range(steps):
-            start = (x[:, t] != 0).astype(np.float32)[:, None]
-            before = h * start
-            h, r, z, cand, un = self.step(x[:, t], before)
-            kept.append((before, start, r, z, cand, un, h))
-        states = np.stack([q[6] for q in kept]).reshape(steps * n, k)
+            np.multiply(h, start[t], out=before[t])
+            h, gate[t], cand[t], un[t] = self.step(x[:, t], before[t])
+            states[t] = h
         target = y.T.reshape(-1)
-        cls = self.class_of(target)
-        scale = np.float32(1 / len(target))
-        s = states @ self.p["c"] + self.p["cb"]
-        s = np.exp(s - s.max(1, keepdims=True))
-        s /= s.sum(1, keepdims=True)
-        s[np.arange(len(cls)), cls] -= 1
-        s *= scale
-        g["c"], g["cb"] = states.T @ s, s.sum(0)
-        dh = s @ self.p["c"].T
-        order = np.argsort(cls, kind="stable")
-        cuts = np.searchsorted(cls[order], np.arange(self.listed + 1))
-        for c in range(self.listed):
-            i = order[cuts[c] : cuts[c + 1]]
-            if len(i):
-                s = states[i] @ self.p["w"][c] + self.p["wb"][c]
-                s = np.exp(s - s.max(1, keepdims=True))
-                s /= s.sum(1, keepdims=True)
-                s[np.arange(len(i)), target[i] - c * self.width] -= 1
-                s *= scale
-                g["w"][c], g["wb"][c] = states[i].T @ s, s.sum(0)
-                dh[i] += s @ self.p["w"][c].T
+        order, own, classes = self._classes(target)
+        flat, target = states.reshape(steps * n, k)[order], target[order]
+        scale = kind.type(1 / len(target))
+        _, e, z = self._outputs(flat, self.p["c"], self.p["cb"])
+        e *= (scale / z)[:, None]
+        e[np.arange(len(own)), own] -= scale
+        g["c"], g["cb"] = flat.T @ e, np.ones(len(e), kind) @ e
+        ranked = e @ self.p["c"].T
+        for lo, hi, a, b in classes:
+            s, w = flat[a:b], self.p["w"][lo:hi]
+            _, e, z = self._outputs(s, w.T, self.p["wb"][lo:hi])
+            e *= (scale / z)[:, None]
+            e[np.arange(b - a), target[a:b] - lo] -= scale
+            np.matmul(e.T, s, out=g["w"][lo:hi])
+            np.matmul(np.ones(b - a, kind), e, out=g["wb"][lo:hi])
+            ranked[a:b] += e @ w
+        dh = np.empty_like(ranked)
+        dh[order] = ranked
         dh = dh.reshape(steps, n, k)
-        back = np.zeros((n, k), np.float32)
-        moved = np.empty((steps, n, 3 * k), dh.dtype)
+        r, z = gate[:, :, :k], gate[:, :, k:]
+        # what the state's gradient is multiplied with for candidate, update gate and (by the candidate's) reset gate
+        to_cand = (1 - z) * (1 - cand * cand)
+        to_z = (before - cand) * z * (1 - z)
+        to_r = un * r * (1 - r)
+        moved, made = np.empty((steps, n, 3 * k), kind), np.empty((steps, n, 3 * k), kind)
+        back, u = np.zeros((n, k), kind), self.p["u"].T.copy()
         for t in range(steps - 1, -1, -1):
-            before, start, r, z, cand, un, _ = kept[t]
-            d = dh[t] + back
-            dn = d * (1 - z) * (1 - cand * cand)
-            dz = d * (before - cand) * z * (1 - z)
-            dr = dn * un * r * (1 - r)
-            moved[t] = np.concatenate([dr, dz, dn], 1)
-            db = np.concatenate([dr, dz, dn * r], 1)
-            g["u"] += before.T @ db
-            back = (d * z + db @ self.p["u"].T) * start
+            d, out, own_ = dh[t], moved[t], made[t]
+            d += back
+            np.multiply(d, to_cand[t], out=out[:, 2 * k :])
+            np.multiply(d, to_z[t], out=out[:, k : 2 * k])
+            np.multiply(out[:, 2 * k :], to_r[t], out=out[:, :k])
+            own_[:, : 2 * k] = out[:, : 2 * k]
+            np.multiply(out[:, 2 * k :], r[t], out=own_[:, 2 * k :])
+            back = own_ @ u
+            back += d * z[t]
+            back *= start[t]
+        g["u"] = before.reshape(-1, k).T @ made.reshape(-1, 3 * k)
         ids = x.T.reshape(-1)
         order = np.argsort(ids, kind="stable")
-        rows, first = np.unique(ids[order], return_index=True)
-        g["x"][rows] = np.add.reduceat(moved.reshape(-1, 3 * k)[order], first)
-        return g, h
+        ranked = ids[order]
+        first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
+        g["x"] = np.add.reduceat(moved.reshape(-1, 3 * k)[order], first)
+        return g, ranked[first], h

@@ -1,11 +1,12 @@
 """Language-model scoring of whole documents.
 
 Words are counted exactly over all training documents. The most frequent ones (their number grows with the square root of
-the tokens) are listed in a gated recurrent model (see gru.py). It is first fitted to a small sample; then, in each of
-ROUNDS rounds, every partition of the training documents trains a copy on all of its text, and the copies are averaged by
-tokens. So the scores depend a little on how the table is partitioned, as any order of training does. The model also gives the probability of 16 classes of other words (by letters beyond
-ASCII, punctuation, digits and length). Of its class an unlisted word has the share (c + 1) / Z, by its corpus count. So
-the score is a proper log probability over all words, seen or not, and what it gathers grows with the corpus.
+the tokens) are listed in a gated recurrent model (see gru.py). It is trained in one pass over all training text, whatever
+its amount: the documents are dealt into ROUNDS rounds; in each, every task trains a copy on its documents of that round,
+and the copies are averaged by tokens. So the scores depend a little on how the table is partitioned, as any order of
+training does. The model also gives the probability of 16 classes of other words (by letters beyond ASCII, punctuation,
+digits and length). Of its class an unlisted word has the share (c + 1) / Z, by its corpus count. So the score is a proper
+log probability over all words, seen or not, and what it gathers grows with the corpus.
 
 Counts of frequent words go to every executor, in a list of bounded length; those of all others meet the documents'
 words in an equi-join.
@@ -24,18 +25,18 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bounded_batches, drop_written, read_table, row_key, utf8_buffer, written
+from ._common import bounded_batches, drop_written, read_table, utf8_buffer, written
 from .gru import GRU
 from .shingles import word_spans
 
-#: Words listed in the model at least (at most those sent); words whose counts are sent to executors; tokens the model is
-#: first fitted to on the driver, about: a corpus of no more is learned there, any larger one in rounds over all of it.
-LISTED, SENT, TRAIN_TOKENS = 2048, 1 << 18, 300_000
+#: Words listed in the model at least (at most those sent); words whose counts are sent to executors.
+LISTED, SENT = 2048, 1 << 18
 #: Tokens scored side by side, and distinct words a task counts before it hands them on.
 TOGETHER, HELD = 1_500_000, 2_000_000
 CLASSES, END = 16, 0
-#: Passes over all training text; weights in a row of a copy, and copies averaged in one group.
-ROUNDS, PIECE, FAN_IN = 2, 1 << 16, 32
+#: Rounds that make one pass over all training text; tokens a copy learns from in a round, about, where there are enough;
+#: weights in a row of a copy, and copies averaged in one group.
+ROUNDS, COPY_TOKENS, PIECE, FAN_IN = 8, 1 << 18, 1 << 16, 32
 _ASCII_LETTER = np.array([97 <= b <= 122 or 65 <= b <= 90 for b in range(256)])
 
 
@@ -118,15 +119,16 @@ class Lexicon:
         return p, np.where(i >= 0, i, self.words + (key & (CLASSES - 1)))
 
 
-def train(ids: DataFrame, model: GRU, rate: float = 4e-3) -> list[int]:
-    """Train the model on every row of ids (binary, int32) in rounds; returns the tokens each round learned from.
+def train(ids: DataFrame, model: GRU, tokens: int, rate: float = 1.2e-2) -> list[int]:
+    """Train the model on every row of ids (round, binary int32) once; returns the tokens each round learned from.
 
     A task holds one copy and about a million tokens; copies meet piece by piece in a tree of bounded fan-in, and the
-    driver gets one copy's worth. Within a round the rate stands, from round to round it falls.
+    driver gets one copy's worth. Few tokens make few copies. Within a round the rate stands, from round to round it falls.
     """
     spark = ids.sparkSession
     names = sorted(model.p)
     cuts = np.cumsum([model.p[k].size for k in names])
+    copies = max(1, tokens // (ROUNDS * COPY_TOKENS))
     seen, kinds = [], "pid long, piece int, n long, v binary"
 
     def add(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
@@ -148,12 +150,14 @@ def train(ids: DataFrame, model: GRU, rate: float = 4e-3) -> list[int]:
                 for i, lo in enumerate(range(0, len(flat), PIECE)):
                     yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([i], pa.int32()), pa.array([n], pa.int64()), pa.array([flat[lo : lo + PIECE].tobytes()], pa.binary())], ["pid", "piece", "n", "v"])
 
-        parts = ids.mapInArrow(run, kinds)
-        left = max(2, ids.rdd.getNumPartitions())
+        part = ids.where(F.col("round") == r).select("ids").coalesce(copies)
+        parts = part.mapInArrow(run, kinds)
+        left = max(2, part.rdd.getNumPartitions())
         while left > 1:
             parts = parts.groupBy(F.expr(f"pid div {FAN_IN}").alias("pid"), "piece").applyInPandas(add, kinds)
             left = math.ceil(left / FAN_IN)
         got = sorted(parts.collect(), key=lambda x: x["piece"])
+        sent.unpersist()
         seen.append(got[0]["n"] if got else 0)
         if got:
             flat = np.concatenate([np.frombuffer(x["v"], np.float32) for x in got])
@@ -162,7 +166,7 @@ def train(ids: DataFrame, model: GRU, rate: float = 4e-3) -> list[int]:
 
 
 def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon, GRU]:
-    """The counts of all words of these documents, the lexicon and the trained model."""
+    """The counts of all words of these documents, the lexicon and the model, trained on every one of them."""
     spark = docs.sparkSession
     bounded_batches(spark)
     texts = docs.select(F.col(text_col).alias("t"))
@@ -174,31 +178,22 @@ def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon,
     for r in per:
         sums[r["k"]], sizes[r["k"]] = r["c"], r["n"]
     lexicon = Lexicon(top.column("key").to_numpy(), top.column("c").to_numpy(), n, v, sums, sizes)
-    share = min(1.0, TRAIN_TOKENS / max(1, n))
-    picked = F.pmod(F.xxhash64("t", F.lit(4)), F.lit(1 << 30)) < int(share * (1 << 30))
     sent = spark.sparkContext.broadcast(lexicon)
 
     def as_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done = TaskContext.get().partitionId()
         for b in batches:
             if b.num_rows:
                 key, at = word_keys(*utf8_buffer(b.column(0)))
                 i = sent.value.find(key)[1].astype(np.int32)
-                yield pa.record_batch([pa.array([i[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary()), b.column(1)], ["ids", "picked"])
-
-    ids = texts.select("t", picked.alias("picked")).mapInArrow(as_ids, "ids binary, picked boolean")
-    ids = ids if share == 1 else written(ids, "lm-ids")
-    # Whole documents of the sample in an order of their own; past the bound no more are taken.
-    rows = sorted(bytes(r["ids"]) for r in ids.where("picked").collect())
-    rng = np.random.default_rng(4)
-    sample, size = [], 0
-    for i in rng.permutation(len(rows)).tolist():
-        if size < 1.5 * TRAIN_TOKENS:
-            sample.append(np.frombuffer(rows[i], np.int32).astype(np.int64))
-            size += len(sample[-1]) + 1
-    model = GRU(lexicon.freq, lexicon.rest, width=max(32, math.isqrt(lexicon.words) if lexicon.words > LISTED else 0)).fit(sample)
-    if share < 1:
-        train(ids.select("ids"), model)
-        drop_written(spark, ids)
+                turn = (np.arange(done, done + b.num_rows) % ROUNDS).astype(np.int32)
+                done += b.num_rows
+                yield pa.record_batch([pa.array(turn), pa.array([i[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["round", "ids"])
+
+    ids = written(texts.mapInArrow(as_ids, "round int, ids binary"), "lm-ids", by="round")
+    model = GRU(lexicon.freq, lexicon.rest, width=max(64, 2 * math.isqrt(lexicon.words)))
+    train(ids, model, n)
+    drop_written(spark, ids)
     return counts, lexicon, model
 
 
@@ -207,28 +202,30 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
 
     Words: what stands between ASCII white space, A-Z lower-cased; the end is a token. A null text has the end alone.
     base_score: add-one unigram log10; score: the model's log10 probability. Equal ids and null ids each have their own
-    row. Other columns are left out. With nothing learned every count is 0.
+    row. A very long text is scored in windows, with the state carried on; its words are held at once, as ids. Other columns
+    are left out, whatever their names. With nothing learned every count is 0. No rows: no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = docs.select(F.col(id_col).alias("id"), row_key(id_col, text_col).alias("rk"), F.col(text_col).alias("t"))
-    kind = dict(rows.dtypes)["id"]
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
+    kind = rows.schema["id"].dataType
+    names = ["rid", "id", "n_tokens", "known", "base", "own", "key", "times"]
     sent = spark.sparkContext.broadcast((lexicon, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """A row for each document, numbered; and one for each of its words that isn't sent (key, times)."""
         lex, gru = sent.value
         log_z, below = np.log10(lex.z), np.log10(lex.n + lex.v + 1)
         log_c = np.append(np.log10(lex.c + 1.0), 0.0)  # place -1, unseen: the logarithm of 0 + 1
         end_p, _ = lex.find(np.array([END]))
         end_c = log_c[end_p[0]]
-        held, size = [], 0
+        held, size, rid = [], 0, TaskContext.get().partitionId() << 40
 
         def emit() -> pa.RecordBatch:
-            texts = [i[x:y] for _, i, _, _, at in held for x, y in zip(at[:-1], at[1:], strict=True)]
+            texts = [i[x:y] for _, _, i, _, _, at in held for x, y in zip(at[:-1], at[1:], strict=True)]
             natural = gru.score(texts)
-            cols = [pa.concat_arrays([b.column(j) for b, *_ in held]) for j in (0, 1)]
             known, base, tail = [], [], []
-            for _, ids, p, key, at in held:
+            for _, _, ids, p, key, at in held:
                 add = lambda x, a=at: np.add.reduceat(np.append(x, 0.0), a[:-1]) * (np.diff(a) > 0) if len(a) > 1 else np.empty(0)
                 known.append(add((p >= 0).astype(float)) + (end_p[0] >= 0))
                 base.append(add(log_c[p]) + end_c)
@@ -236,13 +233,29 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
                 tail.append(add(np.where(ids >= lex.words, log_c[p] - log_z[key & (CLASSES - 1)], 0.0)))
             n = np.concatenate([np.diff(at) for *_, at in held]) + 1
             out = [pa.array(n.astype(np.int64)), pa.array(np.concatenate(known).astype(np.int64)), pa.array(np.concatenate(base) - n * below), pa.array(natural / np.log(10) + np.concatenate(tail))]
-            return pa.record_batch([*cols, *out], ["id", "rk", "n_tokens", "known", "base", "own"])
+            number = np.concatenate([np.arange(r, r + i) for r, i in ((x[0], len(x[1])) for x in held)])
+            none = [pa.nulls(len(n), t) for t in (pa.int64(), pa.int32())]
+            return pa.record_batch([pa.array(number), pa.concat_arrays([x[1] for x in held]), *out, *none], names)
+
+        def others(b: pa.RecordBatch, p: np.ndarray, key: np.ndarray, at: np.ndarray) -> pa.RecordBatch | None:
+            out = np.flatnonzero(p < 0)
+            if not len(out):
+                return None
+            key, doc = key[out], np.searchsorted(at, out, side="right") - 1
+            order = np.lexsort((key, doc))
+            key, doc = key[order], doc[order]
+            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+            none = [pa.nulls(len(new), t) for t in (b.column(0).type, pa.int64(), pa.int64(), pa.float64(), pa.float64())]
+            return pa.record_batch([pa.array(doc[new] + rid), *none, pa.array(key[new]), pa.array(np.diff(np.append(new, len(key))).astype(np.int32))], names)
 
         for b in batches:
             if b.num_rows:
-                key, at = word_keys(*utf8_buffer(b.column(2)))
+                key, at = word_keys(*utf8_buffer(b.column(1)))
                 p, ids = lex.find(key)
-                held.append((b.select([0, 1]), ids, p, key, at))
+                if (more := others(b, p, key, at)) is not None:
+                    yield more
+                held.append((rid, b.column(0), ids, p, key, at))
+                rid += b.num_rows
                 size += len(key)
                 if size > TOGETHER:
                     yield emit()
@@ -250,29 +263,11 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
         if held:
             yield emit()
 
-    scored = rows.mapInArrow(run, f"id {kind}, rk long, n_tokens long, known long, base double, own double")
-
-    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lex = sent.value[0]
-        for b in batches:
-            if b.num_rows:
-                key, at = word_keys(*utf8_buffer(b.column(1)))
-                doc = np.repeat(np.arange(b.num_rows), np.diff(at))
-                out = lex.find(key)[0] < 0
-                key, doc = key[out], doc[out]
-                order = np.lexsort((key, doc))
-                key, doc = key[order], doc[order]
-                new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1]))) if len(key) else np.empty(0, np.int64)
-                if len(new):
-                    yield pa.record_batch([b.column(0).take(pa.array(doc[new])), pa.array(key[new]), pa.array(np.diff(np.append(new, len(key))).astype(np.int32))], ["rk", "key", "times"])
-
-    # Words that aren't sent: rows of one key of document and text meet their counts; equal rows share a sum.
-    once = rows.select("rk", "t").mapInArrow(others, "rk long, key long, times int")
-    met = once.join(counts, "key").groupBy("rk").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("seen"))
-    same = rows.groupBy("rk").agg(F.count("*").alias("same")).where("same > 1")
-    met = met.join(same, "rk", "left").select(F.col("rk").alias("r"), *((F.col(c) / F.coalesce("same", F.lit(1))).alias(c) for c in ("more", "seen")))
-    out = scored.join(met, F.col("rk") == F.col("r"), "left")
-    more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0.0)).cast("long")
+    both = written(rows.mapInArrow(run, f"rid long, id {kind.simpleString()}, n_tokens long, known long, base double, own double, key long, times int"), "lm-scored")
+    # Words that aren't sent meet their counts; each row of the table has its own number.
+    met = both.where("key is not null").select("rid", "key", "times").join(counts, "key").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("seen"))
+    out = both.where("key is null").join(met, "rid", "left")
+    more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0)).cast("long")
     return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("known") + seen).alias("n_known"), F.lit(int(lexicon.n)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("own") + more).alias("score"))
 
 

@@ -1,6 +1,7 @@
 """The joins against brute force: near sets, repeated passages, vectors, neighbours, language model."""
 
 import math
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -10,6 +11,8 @@ import pytest
 
 from quillmap.llm import crosspoly, gru, kmtree, lmscore, nearset, suffixes
 
+SF = "/root/testdata/sf0.01"
+
 
 def near_brute(rows, k, num, den):
     sets = []
@@ -207,7 +210,10 @@ def test_gradients():
             total -= g.log_probs(h, y[:, s]).sum()
         return total / 18
 
-    grad, _ = g._window(x, y, start)
+    grad, rows, _ = g._window(x, y, start)
+    assert rows.tolist() == np.unique(x).tolist()
+    grad["x"], part = np.zeros_like(g.p["x"]), grad["x"]
+    grad["x"][rows] = part
     for k, v in g.p.items():
         for _ in range(8):
             i = tuple(rng.integers(0, s) for s in v.shape)
@@ -258,7 +264,6 @@ def test_scores(spark, docs, monkeypatch):
 
 
 def test_model_learns_from_all_text(spark, docs, monkeypatch):
-    monkeypatch.setattr(lmscore, "TRAIN_TOKENS", 300)
     monkeypatch.setattr(lmscore, "LISTED", 8)
     rng = random.Random(4)
     words = [f"w{i}" for i in range(40)]
@@ -267,10 +272,31 @@ def test_model_learns_from_all_text(spark, docs, monkeypatch):
         at = rng.randrange(40)
         return " ".join(words[(at + j) % 40] for j in range(20 + i % 30))
 
-    frame = docs([(i, text(i), "en", "s") for i in range(2000)]).repartition(3)
+    rows = [(i, text(i), "en", "s") for i in range(2000)]
+    frame = docs(rows).repartition(3)
     counts, lexicon, model = lmscore.learn(frame)
     assert lexicon.words == 41 and lexicon.n > 8 * 40 * 40  # listed words grow beyond LISTED: isqrt(n) of them here
     out = lmscore.score(frame, counts, lexicon, model).agg({"score": "sum", "n_tokens": "sum"}).first()
     assert out["sum(score)"] / out["sum(n_tokens)"] > -1.2  # a uniform guess among 40 words is -1.6
-    ids = spark.createDataFrame([(np.arange(n, dtype=np.int32).tobytes(),) for n in (0, 1, 5, 40, 3)], "ids binary").repartition(3)
-    assert lmscore.train(ids, gru.GRU(np.ones(40), np.ones(16))) == [54, 54]  # each token, ends included, once a round
+    ids = spark.createDataFrame([(i % 2, np.arange(n, dtype=np.int32).tobytes()) for i, n in enumerate((0, 1, 5, 40, 3))], "round int, ids binary").repartition(3)
+    seen = lmscore.train(ids, gru.GRU(np.ones(40), np.ones(16)), 54)
+    assert sum(seen) == 54 and seen[:2] == [1 + 6 + 4, 2 + 41]  # each token, ends included, once
+
+
+def test_documents_beyond_any_sample_change_the_model(docs):
+    """A corpus of more than 300,000 tokens, then one more document with a regularity of its own: its score rises."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(f"w{rng.randrange(300)}" for _ in range(1000)), "en", "s") for i in range(320)]
+    own = (999, "w1 w2 w3 w4 w5 " * 4000, "en", "s")
+    scores = []
+    for more in ([], [own]):
+        learned = lmscore.learn(docs(rows + more).coalesce(1))
+        assert learned[1].n > 300_000
+        scores.append(lmscore.score(docs([own]), *learned).first())
+    assert scores[1].score > 0.8 * scores[0].score and scores[1].train_tokens > scores[0].train_tokens
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables")
+def test_held_out_scores_beat_the_base(spark):
+    rows = lmscore.op4_lm_score(spark, SF).where("held_out").agg({"score": "sum", "base_score": "sum"}).first()
+    assert rows["sum(score)"] > 0.97 * rows["sum(base_score)"]
