@@ -35,9 +35,16 @@ def canonical_uri(matches: DataFrame, lookup: DataFrame, label: str = "occupatio
     return keyed.join(lookup.select(F.col("label_key").alias("_key"), "uri"), "_key", "left").drop("_key")
 
 
+def list_key(c: Column) -> Column:
+    """A 128-bit name of a list's slots in their order; null for an empty or null one."""
+    return F.when(F.size(c) > 0, F.md5(F.to_json(c)))
+
+
 def skill_slots(corpus: DataFrame, skills: str = "skills") -> DataFrame:
-    """job_id, pos, raw: one row for each slot of each posting."""
-    return corpus.select("job_id", F.posexplode(skills).alias("pos", "raw"))
+    """_list, pos, raw: one row for each slot of each distinct list. What a slot becomes depends on its list alone, not on
+    who has it, so rows need no identity: repeated and null ids do no harm, and repeated lists are done once."""
+    lists = corpus.select(list_key(F.col(skills)).alias("_list"), F.col(skills).alias("_slots")).where("_list is not null")
+    return lists.distinct().select("_list", F.posexplode("_slots").alias("pos", "raw"))
 
 
 def match_terms_exact(slots: DataFrame, targets: DataFrame) -> DataFrame:
@@ -46,13 +53,18 @@ def match_terms_exact(slots: DataFrame, targets: DataFrame) -> DataFrame:
     return terms.join(targets, "label_key").select("raw", "canonical")
 
 
-def align(corpus: DataFrame, slots: DataFrame, **columns: Column) -> DataFrame:
-    """corpus with one array for each expression over its slots, in slot order; postings without slots get empty ones."""
+def term_counts(corpus: DataFrame, skills: str = "skills") -> DataFrame:
+    """raw, n: how many slots of all postings hold each term."""
+    return corpus.select(F.explode(skills).alias("raw")).where("raw is not null").groupBy("raw").agg(F.count("*").alias("n"))
+
+
+def align(corpus: DataFrame, slots: DataFrame, of: str = "skills", **columns: Column) -> DataFrame:
+    """corpus with one array for each expression over the slots (from skill_slots) of its list, in slot order; rows without slots get empty ones."""
     names = list(columns)
-    rows = slots.select("job_id", F.struct("pos", *(e.alias(n) for n, e in columns.items())).alias("s"))
-    grouped = rows.groupBy("job_id").agg(F.array_sort(F.collect_list("s")).alias("_s"))
+    rows = slots.select("_list", F.struct("pos", *(e.alias(n) for n, e in columns.items())).alias("s"))
+    grouped = rows.groupBy("_list").agg(F.array_sort(F.collect_list("s")).alias("_s")).withColumnRenamed("_list", "_l")
     arrays = [F.coalesce(A.field_of(F.col("_s"), n), F.array().cast("array<string>")).alias(n) for n in names]
-    return corpus.drop(*names).join(grouped, "job_id", "left").select(*(c for c in corpus.columns if c not in names), *arrays)
+    return corpus.join(grouped, list_key(F.col(of)) == F.col("_l"), "left").select(*(c for c in corpus.columns if c not in names), *arrays)
 
 
 def rule_stage(corpus: DataFrame, occupation_targets: DataFrame, skill_targets: DataFrame, drop_unmatched: bool = False, use_candidates: bool = True) -> DataFrame:
@@ -60,6 +72,6 @@ def rule_stage(corpus: DataFrame, occupation_targets: DataFrame, skill_targets:
     titles = match_titles_exact(corpus, occupation_targets, use_candidates)
     slots = skill_slots(corpus)
     found = slots.join(match_terms_exact(slots, skill_targets), "raw", "left")
-    out = align(corpus, found, skills=F.col("canonical")).join(titles, "title", "left")
+    out = align(corpus, found, "skills", skills=F.col("canonical")).join(titles, "title", "left")
     out = out.select(*corpus.columns, "occupation")
     return out.dropna(subset=["occupation"]) if drop_unmatched else out

@@ -55,40 +55,52 @@ def title_texts(titles: DataFrame, use_clean_title: bool = True) -> DataFrame:
     return rows.where((F.col("text") != "") & ~F.col("text").isin(T.GENERIC_ROLES))
 
 
+_TITLE = ["esco_occupation", "match_method", "esco_score", "esco_matched_label", "esco_uri", "esco_best_guess", "esco_best_score", "esco_best_margin", "esco_ce_score"]
+
+
+def title_results(corpus: DataFrame, lookup: DataFrame, targets: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder, use_clean_title: bool = True, use_candidates: bool = True) -> DataFrame:
+    """_title and the outcome of the ladder, for each distinct title that matched exactly or was scored."""
+    matched = exact.canonical_uri(exact.match_titles_exact(corpus, targets, use_candidates), lookup)
+    named = F.col("occupation") != ""
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in zip(_TITLE[5:], ("string", "double", "double", "double"), strict=True)]
+    hit = matched.select(F.col("title").alias("_title"), F.col("occupation").alias(_TITLE[0]), F.when(named, "exact").alias(_TITLE[1]), F.when(named, 1.0).alias(_TITLE[2]), F.col("occupation").alias(_TITLE[3]), F.col("uri").alias(_TITLE[4]), *nothing)
+    open_ = title_texts(corpus.select("title").distinct().join(matched, "title", "left_anti"), use_clean_title)
+    scores = score_texts(open_.select("text").distinct(), index, embed, scorer, ladder)
+    scored = open_.join(scores, "text").select(F.col("title").alias("_title"), *(F.col(a).alias(b) for a, b in zip(("canonical", "method", "match_score", "label", "uri", "guess", "score", "margin", "ce_score"), _TITLE, strict=True)))
+    return hit.unionByName(scored)
+
+
+def with_titles(corpus: DataFrame, results: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """corpus and (some of) the columns of title_results(), null where a title has none."""
+    return corpus.join(results, F.col("title") == F.col("_title"), "left").select(*corpus.columns, *(columns or _TITLE))
+
+
 def match_titles(corpus: DataFrame, lookup: DataFrame, targets: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder, use_clean_title: bool = True, use_candidates: bool = True) -> DataFrame:
     """corpus and esco_occupation, match_method, esco_score, esco_matched_label, esco_uri, the best guess, its score and margin, ce_score.
 
     Guesses are kept for every scored row, accepted or not; rows that match exactly are not scored.
     """
-    matched = exact.canonical_uri(exact.match_titles_exact(corpus, targets, use_candidates), lookup)
-    matched = matched.select("title", F.col("occupation").alias("_o"), F.col("uri").alias("_u"))
-    open_ = title_texts(corpus.join(matched, "title", "left_anti"), use_clean_title)
-    scores = score_texts(open_.select("text").distinct(), index, embed, scorer, ladder)
-    by_title = open_.join(scores, "text").drop("text")
-    rows = corpus.join(matched, "title", "left").join(by_title, "title", "left")
-    hit = F.col("_o").isNotNull()
-    return rows.select(
-        *corpus.columns,
-        F.coalesce("_o", "canonical").alias("esco_occupation"),
-        F.when(F.coalesce("_o", F.lit("")) != "", "exact").when(~hit, F.col("method")).alias("match_method"),
-        F.when(F.coalesce("_o", F.lit("")) != "", 1.0).when(~hit, F.col("match_score")).alias("esco_score"),
-        F.coalesce("_o", "label").alias("esco_matched_label"),
-        F.when(hit, F.col("_u")).otherwise(F.col("uri")).alias("esco_uri"),
-        F.col("guess").alias("esco_best_guess"), F.col("score").alias("esco_best_score"), F.col("margin").alias("esco_best_margin"),
-        F.col("ce_score").alias("esco_ce_score"),
-    )
+    return with_titles(corpus, title_results(corpus, lookup, targets, index, embed, scorer, ladder, use_clean_title, use_candidates))
 
 
-def match_skills(corpus: DataFrame, targets: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder) -> DataFrame:
-    """corpus with skills as canonical-or-null slots, skill_match_methods, skills_dropped_terms, and a count for each method."""
+def list_results(corpus: DataFrame, targets: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder) -> DataFrame:
+    """_list, pos, raw, canonical, method: the outcome of the ladder for each slot of each distinct list of skills."""
     slots = exact.skill_slots(corpus)
     found = slots.join(exact.match_terms_exact(slots, targets).withColumnRenamed("canonical", "_c"), "raw", "left")
     found = found.withColumn("text", F.when(F.col("_c").isNull(), T.strip(F.col("raw"))))
     texts = found.where("text is not null and text != ''").select("text").distinct()
     scores = score_texts(texts, index, embed, scorer, ladder).select("text", F.col("canonical").alias("_s"), F.col("method").alias("_m"))
-    slots = found.join(scores, "text", "left").select("job_id", "pos", "raw", F.coalesce("_c", "_s").alias("canonical"), F.when(F.col("_c").isNotNull(), "exact").otherwise(F.col("_m")).alias("method"))
-    rows = exact.align(corpus, slots, skills=F.col("canonical"), skill_match_methods=F.col("method"))
-    left = slots.where("method is null").groupBy("job_id").agg(F.array_sort(F.collect_list(F.struct("pos", "raw"))).alias("_l"))
-    rows = rows.join(left, "job_id", "left")
-    rows = rows.withColumn("skills_dropped_terms", F.coalesce(F.transform("_l", lambda s: s["raw"]), F.array().cast("array<string>"))).drop("_l")
+    return found.join(scores, "text", "left").select("_list", "pos", "raw", F.coalesce("_c", "_s").alias("canonical"), F.when(F.col("_c").isNotNull(), "exact").otherwise(F.col("_m")).alias("method"))
+
+
+def with_skills(corpus: DataFrame, results: DataFrame, raw: str = "skills") -> DataFrame:
+    """corpus with skills as canonical-or-null slots of the lists in raw, skill_match_methods, skills_dropped_terms, and a count for each method."""
+    rows = exact.align(corpus, results, raw, skills=F.col("canonical"), skill_match_methods=F.col("method"), _raw=F.col("raw"))
+    left = F.filter(F.arrays_zip("_raw", "skill_match_methods"), lambda s: s["skill_match_methods"].isNull())
+    rows = rows.withColumn("skills_dropped_terms", A.field_of(left, "_raw")).drop("_raw")
     return rows.withColumns({f"n_skills_{m}": A.count_value(F.col("skill_match_methods"), m) for m in METHODS})
+
+
+def match_skills(corpus: DataFrame, targets: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder) -> DataFrame:
+    """with_skills() over the corpus's own lists."""
+    return with_skills(corpus, list_results(corpus, targets, index, embed, scorer, ladder))

@@ -25,6 +25,38 @@ def run_summary(corpus: DataFrame) -> DataFrame:
     return corpus.agg(F.count("*").alias("rows"), F.count("occupation").alias("with_occupation")).withColumn("pct", percent(F.col("with_occupation"), F.col("rows")))
 
 
+def pipeline_summary(corpus: DataFrame, titles: DataFrame | None = None, skills: DataFrame | None = None) -> DataFrame:
+    """One row: rows, with_occupation, pct; of the title stage rows, matched and exact ones; of the skill stage the mentions
+    kept, in all and by each rung. Columns of a stage that did not run are null."""
+    out = run_summary(corpus)
+    title = ["title_rows", "titles_matched", "titles_exact"]
+    if titles is not None:
+        of = titles.agg(F.count("*").alias(title[0]), F.count("esco_occupation").alias(title[1]), F.count_if(F.col("match_method") == "exact").alias(title[2]))
+        out = out.crossJoin(of)  # one row by one row
+    else:
+        out = out.withColumns({c: F.lit(None).cast("long") for c in title})
+    kept = [f"mentions_{m}" for m in METHODS]
+    if skills is not None:
+        out = out.crossJoin(skills.agg(*(F.coalesce(F.sum(f"n_skills_{m}"), F.lit(0)).alias(f"mentions_{m}") for m in METHODS)))
+    else:
+        out = out.withColumns({c: F.lit(None).cast("long") for c in kept})
+    return out.withColumn("mentions_kept", sum((F.col(c) for c in kept[1:]), F.col(kept[0])))
+
+
+def title_summary(titles: DataFrame) -> DataFrame:
+    """One row: rows, matched, pct, exact_pct (what exact matching alone gives), distinct occupations."""
+    hit = F.count("match_method")
+    return titles.agg(F.count("*").alias("rows"), hit.alias("matched"), F.count_if(F.col("match_method") == "exact").alias("_e"), F.countDistinct("esco_occupation").alias("occupations")).select(
+        "rows", "matched", percent(F.col("matched"), F.col("rows")).alias("pct"), percent(F.col("_e"), F.col("rows")).alias("exact_pct"), "occupations"
+    )
+
+
+def skill_summary(skills: DataFrame) -> DataFrame:
+    """One row: kept mentions, exact ones among them, distinct skills kept. A skill named twice counts twice as mentions."""
+    rows = skill_mentions(skills)
+    return rows.agg(F.count("method").alias("kept"), F.count_if(F.col("method") == "exact").alias("exact"), F.countDistinct("skill").alias("skills"))
+
+
 def method_counts(rows: DataFrame, method: str = "match_method") -> DataFrame:
     """method, n, pct for each rung and `unmatched`, also where a rung took nothing."""
     spark = rows.sparkSession
@@ -53,9 +85,14 @@ def top_by_method(rows: DataFrame, label: str, method: str, n: int = 20) -> Data
     return counts.withColumn("rank", rank).where(F.col("rank") <= n)
 
 
+def shuffled(by: str, seed: int) -> Column:
+    """A hash of a column and the seed, by which samples are drawn: the same ones each time, on any engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(by)))
+
+
 def sample(rows: DataFrame, by: str, n: int = 30, seed: int = 42) -> DataFrame:
-    """n rows by a hash of a column and the seed: the same ones each time. A report, so it is limited."""
-    return rows.orderBy(F.xxhash64(F.col(by), F.lit(seed)), by).limit(n)
+    """n rows by a hash of a column and the seed. A report, so it is limited."""
+    return rows.orderBy(shuffled(by, seed), by).limit(n)
 
 
 def via(canonical: str, label: str) -> Column:
@@ -113,7 +150,7 @@ def band_samples(scores: DataFrame, bands: Sequence[float] = BANDS, per_band: in
     band = F.lit(None).cast("double")
     for a, b in zip(edges, edges[1:], strict=False):
         band = F.when((F.col("score") >= a) & (F.col("score") < b), F.lit(a)).otherwise(band)
-    rank = F.row_number().over(Window.partitionBy("lo").orderBy(F.xxhash64("text", F.lit(seed)), "text"))
+    rank = F.row_number().over(Window.partitionBy("lo").orderBy(shuffled("text", seed), "text"))
     return scores.withColumn("lo", band).where("lo is not null").withColumn("_r", rank).where(F.col("_r") <= per_band).drop("_r")
 
 
@@ -123,6 +160,19 @@ def margin_grid(scores: DataFrame, below: float, grid: Sequence[tuple[float, flo
     return scores.agg(F.array(*cells).alias("a")).select(F.inline("a"))
 
 
+def margin_deciles(scores: DataFrame, below: float) -> DataFrame:
+    """Deciles of the margin of texts under the threshold; no rows if there are none."""
+    return deciles(scores.where(F.col("score") < below), "margin").where("value is not null")
+
+
+def margin_grid_samples(scores: DataFrame, below: float, grid: Sequence[tuple[float, float]] = GRID, per_cell: int = 8, seed: int = 0) -> DataFrame:
+    """min_score, min_margin and the row: for each pair of bounds some of the texts under the threshold that it would take."""
+    cells = F.array(*(F.struct(F.lit(s).alias("min_score"), F.lit(m).alias("min_margin")) for s, m in grid))
+    rows = scores.where(F.col("score") < below).select("*", F.inline(cells)).where("score >= min_score and margin >= min_margin")
+    rank = F.row_number().over(Window.partitionBy("min_score", "min_margin").orderBy(shuffled("text", seed), "text"))
+    return rows.withColumn("_r", rank).where(F.col("_r") <= per_cell).drop("_r")
+
+
 def show(title: str, df: DataFrame, n: int = 100) -> None:
     print("\n" + "=" * 60 + f"\n{title}\n" + "=" * 60)
     df.show(n, truncate=70)

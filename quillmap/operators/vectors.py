@@ -11,9 +11,9 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-#: Bytes of label vectors that one pass sends to the executors; a larger index takes several passes.
+#: Bytes of label vectors that a task holds; a larger index is cut into blocks. Queries of a part that meets such a block.
 PASS_BYTES = 64 << 20
-QUERY_BLOCK = 512
+QUERY_BLOCK, PART_ROWS = 512, 50_000
 #: Scores are rounded to so many digits before they are ranked, so that equal ones tie and the label index decides.
 DIGITS = 9
 
@@ -127,40 +127,53 @@ def letter_vector(c: Column) -> Column:
     return F.transform(counts, lambda x: F.when(norm > 0, x / norm).otherwise(F.lit(0.0)))
 
 
+def _ranked(rows: pd.DataFrame, ids: list[str], vec: str, at: np.ndarray, m: np.ndarray, k: int) -> Iterator[pd.DataFrame]:
+    """The k best of some labels for each row, in blocks of queries; at: label indexes in order, m: their vectors."""
+    rows = rows[rows[vec].notna()]
+    n = min(k, len(at))
+    for b in range(0, len(rows) if n else 0, QUERY_BLOCK):
+        part = rows.iloc[b : b + QUERY_BLOCK]
+        s = np.round(np.array(part[vec].tolist(), np.float64) @ m.T, DIGITS)
+        order = np.argsort(-s, axis=1, kind="stable")[:, :n]
+        out = part[ids].loc[part.index.repeat(n)].copy()
+        out["label_idx"], out["score"] = at[order].ravel().astype(np.int32), np.take_along_axis(s, order, 1).ravel()
+        yield out
+
+
 def top_k(queries: DataFrame, labels: DataFrame, k: int, vec: str = "embedding", pass_bytes: int = PASS_BYTES) -> DataFrame:
     """query columns, label_idx, score, rank (from 1): the k labels of largest inner product, ties to the smaller index.
 
-    Label vectors go to the executors in passes of bounded size; within one, blocks of queries are multiplied with all
-    labels of the pass, in double precision. Each query's best of all passes are then ranked.
+    Blocks of queries are multiplied with blocks of labels, in double precision. An index of up to pass_bytes goes to the
+    executors as one block; a larger one is cut into blocks of that size, which meet parts of the queries by a cogroup, so
+    that neither the driver nor a task holds more than a block. Each query's best of all blocks are then ranked.
     """
     spark = queries.sparkSession
     ids = [c for c in queries.columns if c != vec]
-    top, dim = labels.agg(F.max("label_idx"), F.max(F.size(vec))).first()
-    per_pass = max(1, pass_bytes // (8 * max(1, dim or 1)))
+    labels = labels.where(F.col(vec).isNotNull()).select("label_idx", F.col(vec).cast("array<double>").alias("v"))
+    count, dim = labels.agg(F.count("*"), F.max(F.size("v"))).first()
     schema = ", ".join([*(f"`{n}` {t}" for n, t in queries.dtypes if n != vec), "label_idx int, score double"])
-    found = None
-    for lo in range(0, (top or 0) + 1, per_pass):
-        part = labels.where((F.col("label_idx") >= lo) & (F.col("label_idx") < lo + per_pass)).where(F.col(vec).isNotNull())
-        part = part.select("label_idx", F.col(vec).cast("array<double>").alias("v")).orderBy("label_idx").toArrow()
-        at = part.column("label_idx").to_numpy().astype(np.int32)
+    blocks = -(-count * 8 * max(1, dim or 1) // pass_bytes)
+    if blocks <= 1:
+        part = labels.orderBy("label_idx").toArrow()  # at most pass_bytes
         flat = part.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        held = spark.sparkContext.broadcast((at, flat.reshape(len(at), -1) if len(at) else flat.reshape(0, 0)))
-
-        def run(batches: Iterator[pd.DataFrame], held=held) -> Iterator[pd.DataFrame]:
-            at, m = held.value
-            for pdf in batches:
-                pdf = pdf[pdf[vec].notna()]
-                for b in range(0, len(pdf) if len(at) else 0, QUERY_BLOCK):
-                    rows = pdf.iloc[b : b + QUERY_BLOCK]
-                    s = np.round(np.array(rows[vec].tolist(), np.float64) @ m.T, DIGITS)
-                    n = min(k, len(at))
-                    order = np.argsort(-s, axis=1, kind="stable")[:, :n]
-                    out = rows[ids].loc[rows.index.repeat(n)].copy()
-                    out["label_idx"], out["score"] = at[order].ravel(), np.take_along_axis(s, order, 1).ravel()
-                    yield out
-
-        got = queries.mapInPandas(run, schema)
-        found = got if found is None else found.unionByName(got)
+        held = spark.sparkContext.broadcast((part.column("label_idx").to_numpy(), flat.reshape(count, -1) if count else flat.reshape(0, 0)))
+
+        def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for rows in batches:
+                yield from _ranked(rows, ids, vec, *held.value, k)
+
+        found = queries.mapInPandas(run, schema)
+    else:
+        parts = max(1, queries.count() // PART_ROWS)
+        asked = queries.withColumn("_part", F.pmod(F.xxhash64(*ids), F.lit(parts)).cast("int")).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        held = labels.withColumn("_block", F.pmod(F.xxhash64("label_idx"), F.lit(blocks)).cast("int")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+
+        def meet(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
+            own = own.sort_values("label_idx")
+            got = list(_ranked(rows.reset_index(drop=True), ids, vec, own["label_idx"].to_numpy(), np.array(own["v"].tolist(), np.float64), k)) if len(own) else []
+            return pd.concat(got) if got else pd.DataFrame({c: pd.Series(dtype=object) for c in [*ids, "label_idx", "score"]})
+
+        found = asked.groupBy("_part", "_block").cogroup(held.groupBy("_part", "_block")).applyInPandas(meet, schema)
     w = Window.partitionBy(*ids).orderBy(F.desc("score"), "label_idx")
     return found.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import os
 import sys
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -23,40 +24,48 @@ class PipelineResult:
 
 
 def merge_stage(corpus: DataFrame, stage: DataFrame, columns: list[str]) -> DataFrame:
-    """The stage's columns folded into the corpus by job_id, in place of those of the same name."""
+    """The stage's columns folded into the corpus by job_id, in place of those of the same name.
+
+    Null ids meet null ids, and an id that stands several times on both sides gives every pair: for frames whose ids are
+    unique. run_stages() does without it.
+    """
     new = [c for c in columns if c in stage.columns and c != "job_id"]
-    return corpus.drop(*new).join(stage.select("job_id", *new), "job_id", "left")
+    right = stage.select(F.col("job_id").alias("_job"), *new)
+    return corpus.drop(*new).join(right, F.expr("job_id <=> _job"), "left").drop("_job")
 
 
-def run_stages(corpus: DataFrame, taxonomies: dict[str, tuple[DataFrame, DataFrame]], config: Config, encoder: vectors.Encoder, scorer: vectors.PairScorer | Column | None, vector_dir: str | None = None) -> PipelineResult:
+def run_stages(corpus: DataFrame, taxonomies: dict[str, tuple[DataFrame, DataFrame]], config: Config, encoder: vectors.Encoder | Callable[[DataFrame, str], DataFrame], scorer: vectors.PairScorer | Column | None, vector_dir: str | None = None) -> PipelineResult:
     """All stages over job_id, title, skills; raw skills stay as skills_raw. One plan, nothing is run here but the indexes.
 
-    With vector_dir the index vectors are kept there, under the encoder's name and a signature of the texts.
+    Every stage adds columns to the rows it is given, by title or by list of skills, so repeated and null ids keep rows of
+    their own. encoder: a model, or a function from a frame and its text column to the frame with embedding. With vector_dir
+    the index vectors are kept there, under the encoder's name and a signature of the texts.
     """
     occupation_lookup, occupations = taxonomies["occupations"]
     skill_lookup, skill_concepts = taxonomies["skills"]
     occupation_targets = exact.with_canonical(occupation_lookup, occupations)
     skill_targets = exact.with_canonical(skill_lookup, skill_concepts)
-    out = exact.rule_stage(corpus, occupation_targets, skill_targets, config.drop_unmatched == "after_exact", config.use_candidates)
-    out = out.join(corpus.select("job_id", F.col("skills").alias("skills_raw")), "job_id", "left")
-    embed = lambda df: vectors.embed(df, encoder)
+    out = exact.rule_stage(corpus.withColumn("skills_raw", F.col("skills")), occupation_targets, skill_targets, config.drop_unmatched == "after_exact", config.use_candidates)
     tokens = DESCRIPTION_TOKENS if config.use_description else QUERY_TOKENS
+    native = callable(encoder)
+    embed = lambda df: encoder(df, "text") if native else vectors.embed(df, encoder)
 
     def indexed(concepts: DataFrame, skip_generic: bool) -> DataFrame:
         index = lookup.with_embed_text(lookup.target_index(concepts, skip_generic), config.use_description)
+        if native:
+            return encoder(index, "embed_text")
         encode = lambda df: vectors.embed(df, encoder, "embed_text", max_tokens=tokens)
-        return encode(index) if vector_dir is None else stores.cached_vectors(index, encode, encoder.name, vector_dir)
+        return encode(index) if vector_dir is None else stores.cached_vectors(index, encode, f"{encoder.name}-{tokens}", vector_dir)
 
     titles = skills = None
     if config.run_titles:
-        index = indexed(occupations, True)
-        titles = ladder.match_titles(corpus, occupation_lookup, occupation_targets, index, embed, scorer, config.titles, config.use_clean_title, config.use_candidates)
-        out = merge_stage(out, titles, ["esco_occupation", "esco_uri", "match_method"])
-        out = out.withColumn("occupation", F.coalesce("esco_occupation", "occupation"))
+        found = ladder.title_results(corpus, occupation_lookup, occupation_targets, indexed(occupations, True), embed, scorer, config.titles, config.use_clean_title, config.use_candidates)
+        titles = ladder.with_titles(corpus, found)
+        out = ladder.with_titles(out, found, ["esco_occupation", "esco_uri", "match_method"]).withColumn("occupation", F.coalesce("esco_occupation", "occupation"))
     if config.run_skills:
-        index = indexed(skill_concepts, False)
-        skills = ladder.match_skills(corpus, skill_targets, index, embed, scorer, config.skills)
-        out = merge_stage(out, skills, [c for c in skills.columns if c.startswith(("skill", "n_skills"))])
+        found = ladder.list_results(corpus, skill_targets, indexed(skill_concepts, False), embed, scorer, config.skills)
+        skills = ladder.with_skills(corpus, found)
+        out = ladder.with_skills(out, found, "skills_raw")
     if config.drop_unmatched == "after_all":
         out = out.dropna(subset=["occupation"])
     return PipelineResult(out, titles, skills)

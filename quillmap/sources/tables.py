@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
@@ -22,14 +22,22 @@ def null_tokens(c: Column) -> Column:
 
 
 def read_csv(spark: SparkSession, path: str, columns: list[str], encoding: str = "UTF-8") -> DataFrame:
-    """The named columns as strings, and `ord`, the row's place in the file.
+    """The named columns as strings, and `ord`, the row's place in the file; of several files, in the order of their names.
 
     Rows of the wrong length are kept, short ones filled with nulls. Cells may hold line breaks, so a file is one task
-    that numbers its rows in order: convert to Parquet once (see stores.py) and read that afterwards.
+    that numbers its rows in order: convert to Parquet once (see stores.py) and read that afterwards, or hand over several
+    files, each a task of its own; then one more pass counts the rows of each.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
     raw = raw.option("encoding", encoding).option("mode", "PERMISSIVE").option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).option("inferSchema", False).csv(path)
-    return raw.select(*(null_tokens(F.col(f"`{c}`")).alias(c) for c in columns), F.monotonically_increasing_id().alias("ord"))
+    cells = [null_tokens(F.col(f"`{c}`")).alias(c) for c in columns]
+    if len(raw.inputFiles()) < 2:
+        return raw.select(*cells, F.monotonically_increasing_id().alias("ord"))
+    rows = raw.select(*cells, F.col("_metadata.file_path").alias("_file"), F.monotonically_increasing_id().alias("_at"))
+    files = rows.groupBy("_file").agg(F.min("_at").alias("_low"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each file
+    files = files.select(F.col("_file").alias("_name"), (before - F.col("_low")).alias("_shift"))
+    return rows.join(files, F.col("_file") == F.col("_name")).select(*columns, (F.col("_at") + F.col("_shift")).alias("ord"))
 
 
 def require_files(paths: list[str]) -> None:
@@ -105,6 +113,12 @@ def load_taxonomies(spark: SparkSession, occupations: str, skills: str) -> dict[
     return {"occupations": load_occupations(spark, occupations), "skills": load_skills(spark, skills)}
 
 
+def taxonomy_counts(taxonomies: dict[str, tuple[DataFrame, DataFrame]]) -> DataFrame:
+    """kind, concepts, labels: how many concepts and label keys each vocabulary has."""
+    rows = [c.agg(F.count("*").alias("concepts")).crossJoin(found.agg(F.count("*").alias("labels"))).select(F.lit(kind).alias("kind"), "*") for kind, (found, c) in taxonomies.items()]  # one row by one row
+    return rows[0] if len(rows) == 1 else rows[0].unionByName(taxonomy_counts(dict(list(taxonomies.items())[1:])))
+
+
 def group_labels(raw: DataFrame) -> DataFrame:
     """code, label of the occupation groups: codes stripped, the last writer wins."""
     rows = raw.select(T.strip(F.col("code")).alias("code"), F.col("preferredLabel").alias("label"), "ord")

@@ -53,6 +53,16 @@ def test_csv_source(spark, tmp_path):
         tables.require_files([str(p), str(tmp_path / "none.csv")])
 
 
+def test_several_csv_files_are_numbered_as_one(spark, tmp_path):
+    folder = tmp_path / "several"
+    folder.mkdir()
+    for name, rows in (("b.csv", ["4,d", "5,e", "6,f"]), ("a.csv", ["1,NA", "2,b", '3,"c\nc"']), ("c.csv", ["7,g"] * 40)):
+        (folder / name).write_text("job_link,job_title\n" + "\n".join(rows) + "\n")
+    got = tables.read_csv(spark, str(folder), ["job_link"]).orderBy("ord").collect()
+    assert [r.ord for r in got] == list(range(46)) and [r.job_link for r in got[:6]] == list("123456")
+    assert sorted(r.job_id for r in tables.load_postings(spark, str(folder), 5).collect()) == ["2", "3", "4", "5"]
+
+
 def test_first_writer_keeps_null(spark):
     cells = spark.createDataFrame([("a", None, 0), ("a", "x", 1), ("b", "Y , z", 2)], "job_id string, job_skills string, ord long")
     rows = spark.createDataFrame([("a",), ("b",), ("c",)], "job_id string")
@@ -60,7 +70,7 @@ def test_first_writer_keeps_null(spark):
     assert {r.job_id: r.skills for r in out.collect()} == {"a": [], "b": ["y", "z"], "c": []}
 
 
-def test_top_k_passes_and_edges(spark):
+def test_top_k_passes_and_edges(spark, monkeypatch):
     rng = np.random.default_rng(0)
     q, m = rng.standard_normal((20, 8)), rng.standard_normal((50, 8))
     m[7] = m[3]
@@ -71,6 +81,10 @@ def test_top_k_passes_and_edges(spark):
         assert {(r.q, r.label_idx) for r in vectors.top_k(qs, ls, 4, pass_bytes=size).collect()} == want
     one = vectors.best_with_margin(vectors.top_k(qs, ls.where("label_idx = 0"), 5), "q").collect()
     assert len(one) == 20 and all(r.margin is None for r in one)
+    none = spark.createDataFrame([(99, None)], "q int, embedding array<double>")
+    assert vectors.top_k(none, ls, 4, pass_bytes=100).count() == vectors.top_k(none, ls, 4).count() == 0
+    monkeypatch.setattr(vectors, "PART_ROWS", 6)
+    assert {(r.q, r.label_idx) for r in vectors.top_k(qs, ls, 4, pass_bytes=8 * 8 * 7).collect()} == want
     assert vectors.top_k(qs, ls.where("label_idx < 0"), 5).count() == 0
 
 
@@ -109,12 +123,64 @@ def test_pipeline_and_export(spark, tmp_path):
     assert out.columns == export.COLUMNS
     stores.export_csv(out, str(tmp_path / "out"), one_file=True)
     back = spark.read.option("header", True).option("escape", '"').csv(str(tmp_path / "out")).collect()
+    padded = spark.createDataFrame([(" a ", '"q"', None, "")], "x string, y string, z string, w string")
+    stores.export_csv(padded, str(tmp_path / "pad"))
+    assert tables.read_csv(spark, str(tmp_path / "pad"), ["x", "y", "z", "w"]).drop("ord").collect() == [(" a ", '"q"', None, None)]
     assert back[0].esco_skills.split(" | ")[0] == "statistician" and back[0].isco_submajor_label == "Group" and back[0].isco_group_code == "0110"
     assert reports.run_summary(result.corpus).first().rows == 5
     thin = export.flatten(corpus(spark), concepts, groups)
     assert thin.count() == 0
 
 
+def test_rows_of_one_id_and_of_none_keep_their_own(spark):
+    raw = taxonomy(spark)
+    pair = tables.lookup(raw), tables.concepts(raw, tables.OCCUPATION)
+    rows = spark.createDataFrame([("1", "nurse", ["nurse", "zzz"]), ("1", "manager", ["data analyst"]), (None, "nurse", ["bi analyst", None]), (None, "zzz", []), ("2", "nurse", ["nurse", "zzz"])], "job_id string, title string, skills array<string>")
+    targets = exact.with_canonical(*pair)
+    out = exact.rule_stage(rows, targets, targets)
+    key = lambda r: (r.job_id or "", r.occupation or "", [x or "" for x in r.skills])
+    want = [("", "", []), ("", "nurse practitioner", ["data analyst", ""]), ("1", "", ["statistician"]), ("1", "nurse practitioner", ["nurse practitioner", ""]), ("2", "nurse practitioner", ["nurse practitioner", ""])]
+    assert sorted(map(key, out.collect())) == want
+    run = pipeline.run_stages(rows, {"occupations": pair, "skills": pair}, Config(), vectors.TrigramEncoder(), vectors.TokenOverlap())
+    assert sorted(map(key, run.corpus.collect())) == want and run.titles.count() == run.skills.count() == 5
+    assert {tuple(r.skills_dropped_terms) for r in run.corpus.where("job_id = '1'").collect()} == {("zzz",), ()}
+    stage = spark.createDataFrame([(None, "x"), ("1", "y")], "job_id string, note string")
+    assert sorted((r.job_id or "", r.note or "") for r in pipeline.merge_stage(rows, stage, ["note"]).collect()) == [("", "x"), ("", "x"), ("1", "y"), ("1", "y"), ("2", "")]
+
+
+def test_vector_cache_and_descriptions(spark, tmp_path):
+    raw = taxonomy(spark)
+    index = lookup.target_index(tables.concepts(raw, tables.OCCUPATION), True)
+    plain, rich = (lookup.with_embed_text(index, d) for d in (False, True))
+    assert {r.embed_text for r in rich.collect()} >= {"statistician - counts", "nurse - heals", "BI  analyst!"}
+    calls = []
+
+    def encode(df):
+        calls.append(1)
+        return vectors.embed(df, vectors.TrigramEncoder(), "embed_text")
+
+    first, again, other = (stores.cached_vectors(x, encode, "trigram", str(tmp_path / "v")) for x in (plain, plain, rich))
+    assert len(calls) == 2 and len(list((tmp_path / "v").iterdir())) == 2
+    assert sorted(map(str, first.collect())) == sorted(map(str, again.collect())) and other.count() == index.count()
+    result, _ = finished(spark, use_description=True)
+    assert result.titles.where("match_method = 'exact'").count() == 1
+
+
+def test_summaries(spark):
+    result, _ = finished(spark)
+    got = reports.pipeline_summary(result.corpus, result.titles, result.skills).first()
+    titles, skills = result.titles.collect(), result.skills.collect()
+    assert (got.rows, got.title_rows, got.titles_matched, got.titles_exact) == (5, 5, sum(r.esco_occupation is not None for r in titles), 1)
+    assert got.mentions_kept == sum(m is not None for r in skills for m in r.skill_match_methods) and got.mentions_exact == sum(m == "exact" for r in skills for m in r.skill_match_methods)
+    short = reports.pipeline_summary(result.corpus).first()
+    assert short.title_rows is None and short.mentions_kept is None and short.rows == 5
+    assert reports.skill_summary(result.skills).first().skills == len({s for r in skills for s in r.skills if s})
+    assert reports.title_summary(result.titles).first().matched == got.titles_matched
+    scores = spark.createDataFrame([("a", 0.7, 0.2), ("b", 0.9, 0.3), ("c", 0.65, None)], "text string, score double, margin double")
+    assert [(r.q, r.value) for r in reports.margin_deciles(scores, 0.8).collect()] == [(10 * i, 0.2) for i in range(11)] and reports.margin_deciles(scores, 0.1).count() == 0
+    assert sorted((r.min_score, r.text) for r in reports.margin_grid_samples(scores, 0.8).collect()) == [(0.6, "a"), (0.65, "a"), (0.7, "a"), (0.7, "a")]
+
+
 def test_drop_unmatched_and_empty(spark):
     early, _ = finished(spark, drop_unmatched="after_exact")
     late, _ = finished(spark, drop_unmatched="after_all")
