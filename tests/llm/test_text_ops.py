@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -51,6 +52,73 @@ def test_cuckoo():
     assert tiny.contains(keys[:60]).all()
 
 
+def test_cuckoo_holds_what_stays_after_deletions():
+    rng = np.random.default_rng(1)
+    keys = rng.integers(-(1 << 62), 1 << 62, 20_000)
+    f = linededup.CuckooFilter(4)  # keys share buckets and fingerprints in the stash
+    f.insert(keys)
+    f.delete(keys[:10_000])
+    assert f.contains(keys[10_000:]).all()
+    g = linededup.CuckooFilter.from_bytes(f.to_bytes())
+    g.delete(keys[10_000:])
+    assert not g.stash and not g.table.any()
+    for n in (500, 5000):  # to ten times the first capacity, and back
+        h = linededup.CuckooFilter(500)
+        h.insert(keys[:500])
+        h.insert(keys[500:n])
+        h.delete(keys[: n // 2])
+        assert h.contains(keys[n // 2 : n]).all()
+
+
+def test_filters_grow_from_the_counts(spark):
+    key = lambda i: (i * 0x9E3779B97F4A7C15 + 7) % (1 << 64) - (1 << 63)
+    rows = lambda n, hot: spark.createDataFrame([(key(i), key(i + 10**6), 12 if i < hot else 3) for i in range(n)], "k1 long, k2 long, refs long")
+    small, large, less = rows(3000, 400), rows(6000, 4000), rows(6000, 100)
+    filters = linededup.build_filters(small, shards=3)
+    for before, after, hot in ((small, large, 4000), (large, less, 100)):
+        filters = spark.createDataFrame(linededup.update_filters(filters, before, after).collect(), linededup.FILTER)
+        held = {r.shard: r for r in filters.collect()}
+        assert sum(r.n for r in held.values()) == hot and all(r.n <= r.room for r in held.values())
+        for i in range(hot):
+            k = np.array([key(i), key(i + 10**6)], np.int64)
+            f = linededup.CuckooFilter.from_bytes(held[int(linededup._shard_of(k[:1], 3)[0])].filter)
+            assert f.contains(k[1:]).all()
+    assert linededup.update_filters(filters.limit(0), small, large).count() == linededup.SHARDS
+
+
+def line_brute(rows, least=10):
+    keys = lambda t: [linededup.line_key(x) for x in (t or "").encode().split(b"\n")]
+    refs = Counter(k for _, t, *_ in rows for k in set(keys(t)))
+    out = []
+    for i, t, *_ in rows:
+        lines = (t or "").split("\n")
+        gone = [bool(k) and refs[k] >= least for k in keys(t)]
+        out.append((i, len(lines), sum(gone), "\n".join(x for x, g in zip(lines, gone, strict=True) if not g)))
+    return sorted(map(repr, out))
+
+
+@pytest.mark.parametrize("heavy", [False, True])
+def test_line_dedup_against_brute_force(spark, docs, monkeypatch, heavy, tmp_path):
+    """Also with keys so heavy that they are decided where they are read, and with many shards."""
+    monkeypatch.setattr(linededup, "SHARD_LINES", 50)
+    rng = random.Random(11)
+    common = [f"  Common {i}\t" for i in range(30)]
+    n = 1500 if heavy else 300
+    rows = [(i if rng.random() < 0.9 else rng.choice([None, 7]), "\n".join([*(rng.choice(common).swapcase() for _ in range(rng.randint(0, 3))), *(["the line of all"] if i % 2 else []), *(f"own {rng.randint(0, 2 * n)}" for _ in range(rng.randint(0, 3)))]), "en", "s") for i in range(n)]
+    rows += [*ODD, *rows[:3], (90, "the line of all " * 2000 + "\n" + "the line of all\n" * 3000, "en", "s")]
+    if heavy:
+        monkeypatch.setattr(linededup, "HEAVY", 10)
+        monkeypatch.setattr(linededup, "HEAVY_REFS", 50)
+    frame = docs(rows).withColumnsRenamed({"n_chars": "_drops"}).withColumn("_i", F.lit("x")).withColumn("shard", F.lit(1))
+    out = linededup.dedup(frame, state=str(tmp_path / "state"))
+    assert out.columns == [*frame.columns, "n_lines", "n_dropped"]
+    assert sorted(repr((r.doc_id, r.n_lines, r.n_dropped, r.text)) for r in out.collect()) == line_brute(rows)
+    assert spark.read.parquet(str(tmp_path / "state" / "refs")).where("refs < 10").count() > 0  # the whole counts stay
+    stage = linededup.pipeline_stage(spark, docs(rows), "")
+    assert stage.columns == docs([]).columns and stage.count() == len(rows) and stage.where("n_chars != length(text)").count() == 0
+    assert linededup.pipeline_stage(spark, docs([]), "").count() == 0
+
+
 def test_line_dedup_and_reversal(spark, docs):
     rows = [*ODD, *((100 + i, f"Common  Line\n\tCOMMON line \n own {i}\n\nhello", "en", "a") for i in range(12)), (300, " common  line\n\nrest", "en", "a")]
     out = linededup.dedup(docs(rows)).collect()
