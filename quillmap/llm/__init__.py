@@ -1,13 +1 @@
-"""Training-data operators; nothing outside this package imports it."""
-
-
-def queries() -> dict:
-    from . import registry
-
-    return registry.QUERIES
-
-
-def oracle_sql() -> dict[str, str]:
-    from . import registry
-
-    return registry.ORACLES
+"""Training-data operators; nothing outside this package imports it. registry.py has their queries and SQL."""

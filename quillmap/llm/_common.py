@@ -97,26 +97,49 @@ def utf8_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, off - off[0]
 
 
+def private(df: DataFrame, *names: str) -> list[str]:
+    """Names like these that no column of df has, whatever its case."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        taken.add(n.lower())
+        out.append(n)
+    return out
+
+
+#: Nodes whose least neighbour is sent to all executors, at most: those with more than 1 / HUBS of all neighbours.
+HUBS = 10_000
+
+
+def _with_least(rows: DataFrame, size: int) -> DataFrame:
+    """(u, v, m): m is the least v of u. The values of hubs are sent, as there are at most HUBS; those of other nodes meet
+    their rows in a join, in which no key has many rows. size: at least as many as there are rows."""
+    many = max(100, -(-size // HUBS))
+    low = rows.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("d"))
+    hubs = low.where(F.col("d") > many).select(F.col("u").alias("h"), F.col("m").alias("hm"))
+    marked = rows.join(F.broadcast(hubs), F.col("u") == F.col("h"), "left")
+    others = marked.where("h is null").select("u", "v").join(low.where(F.col("d") <= many).select("u", "m"), "u")
+    return marked.where("h is not null").select("u", "v", F.col("hm").alias("m")).unionByName(others.select("u", "v", "m"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the edges, for nodes with an edge to another.
 
-    Alternates large-star and small-star steps; each is an aggregate (with map-side combining) and an equi-join,
-    so a hub of any degree is spread over tasks. Every round is written to the shared folder.
+    Alternates large-star and small-star steps; each is an aggregate (with map-side combining) and a join that no hub
+    passes through, whatever its degree. Every round is written to the shared folder; those before are removed.
     """
-    spark = edges.sparkSession
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "edges")
+    digest = _digest(now)
     for _ in range(rounds):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.where("v > u").join(low, "u").where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        low2 = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low2, "u")
-        nxt = small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
-        nxt = written(nxt, "edges")
-        done = _digest(nxt) == _digest(now)
-        drop_written(spark, now)
+        large = _with_least(both, 2 * digest[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = _with_least(large, digest[0])
+        nxt = written(small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
+        before, digest = digest, _digest(nxt)
+        drop_written(now.sparkSession, now)
         now = nxt
-        if done:
+        if digest == before:
             break
     else:
         raise RuntimeError("components did not settle")

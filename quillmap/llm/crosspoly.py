@@ -184,9 +184,12 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
 
 
 def _with_class(named: DataFrame) -> DataFrame:
-    """(_id, _label, vec, cid): cid names the label and vector by 128 bits, null for those that take no part."""
+    """(_id, _label, vec, cid): cid names the label and vector by 128 bits, null for those that take no part.
+
+    The hash folds its arguments from left to right, so the seeds come first: two states that run over all of the vector.
+    """
     rows = named.select("_id", F.col("_label").cast("string").alias("_label"), F.col("_vec").cast("array<double>").alias("vec"))
-    hexed = [F.lpad(F.hex(F.xxhash64("_label", "vec", F.lit(seed))), 16, "0") for seed in (1, 2)]
+    hexed = [F.lpad(F.hex(F.xxhash64(F.lit(seed), "_label", "vec")), 16, "0") for seed in (1, 2)]
     return rows.withColumn("cid", F.when(F.col("_label").isNotNull() & usable("vec"), F.unhex(F.concat(*hexed))))
 
 

@@ -25,10 +25,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ._common import bounded_batches, components, drop_written, mix64, read_table, row_key, utf8_buffer, written
+from ._common import bounded_batches, components, drop_written, mix64, private, read_table, row_key, utf8_buffer, written
 from .shingles import shingle_sets
 
 DEPTH, NODE = 6, 48
@@ -253,7 +253,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     Links: den * intersection >= num * union of the shingle sets. Words are what stands between ASCII white space, A-Z
     lower-cased; texts of fewer than k words have one shingle; null, empty and blank texts have none and lead themselves.
     The first row of a group has its smallest id (null ids last, then by a hash of id and text). Equal ids with different
-    texts are documents of their own. Other columns are left out. No rows: no rows.
+    texts are documents of their own. A very long text is hashed in pieces; its set is held at once. Other columns are left
+    out, whatever their names. No rows: no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -331,9 +332,14 @@ def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays: five words, similarity 0.8. Of equal rows one stays too."""
+    """One document of each group of near copies stays: five words, similarity 0.8. Of equal rows one stays too.
+
+    Null, empty and blank texts have no copies but rows equal in id and text. Texts of any length are compared whole.
+    Columns stay as they are, whatever their names. No rows: no rows.
+    """
     found = near_duplicates(docs)
-    stay = found.where(F.expr("doc_id <=> lead._id and _rk = lead._rk")).select(F.col("doc_id").alias("_id"), "_rk").distinct()
-    rows = docs.withColumn("_key", row_key()).join(stay, F.expr("doc_id <=> _id and _key = _rk")).drop("_id", "_rk")
-    numbered = rows.withColumn("_n", F.expr("row_number() over (partition by doc_id, _key order by doc_id)"))
-    return numbered.where("_n = 1").select(*docs.columns)
+    i, r, key, n = private(docs, "_id", "_rk", "_key", "_n")
+    stay = found.where(F.expr("doc_id <=> lead._id and _rk = lead._rk")).select(F.col("doc_id").alias(i), F.col("_rk").alias(r)).distinct()
+    rows = docs.withColumn(key, row_key()).join(stay, F.expr(f"doc_id <=> `{i}` and `{key}` = `{r}`")).drop(i, r)
+    numbered = rows.withColumn(n, F.row_number().over(Window.partitionBy("doc_id", key).orderBy("doc_id")))
+    return numbered.where(F.col(n) == 1).select(*docs.columns)
