@@ -6,7 +6,8 @@ Routing. Every window has an anchor: the GRAM-byte string of least hash within i
 windows are compared only within an anchor's group. Successive windows of one anchor make a context (at most CONTEXT
 windows); what moves between machines are hashes of anchors and contexts, one row for each segment of documents, anchor
 and context, however often they occur there. An anchor seen in one context and one document is done. Contexts that are
-equal as a whole repeat as a whole.
+equal as a whole, by 64 bits of the anchor and 62 bits of the context, repeat as a whole: among 10^7 contexts of one anchor
+two different ones are taken for equal with probability 1e-5.
 
 Suffix arrays. Where an anchor stands in different contexts, the contexts' bytes are sorted: the suffixes smaller than
 their successors directly, the rest induced from them by bucket scans (two-stage sorting); adjacent common prefixes of
@@ -18,13 +19,16 @@ never shuffled, and a lost executor's pass is just read again.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.parquet as pq
 from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -33,12 +37,12 @@ from .shingles import _BASE, _INVERSE, _VALUE, _power
 
 WINDOW, GRAM = 50, 16
 CONTEXT = WINDOW - GRAM + 1
-#: Documents of a segment, rows read from it at once, and bytes hashed at once.
-SEGMENT_DOCS, READ_ROWS, CHUNK = 20_000, 256, 4 << 20
+#: Documents and bytes of a segment (one document more than the bytes allow), rows read from it at once, and bytes hashed at once.
+SEGMENT_DOCS, SEGMENT_BYTES, READ_ROWS, CHUNK = 20_000, 48 << 20, 256, 4 << 20
 #: Context bytes sorted in one suffix array (a group that is larger is sorted as a whole).
 SORT_BYTES = 1 << 20
 NO_ID = (1 << 63) - 1
-_CTX_BITS = 43
+_CTX_BITS = 62
 
 
 # --- two-stage suffix sorting ------------------------------------------------------------------------------------
@@ -194,8 +198,8 @@ def _chunks(path: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray,
                 lo = hi
 
 
-def _collect(seg: int, path: str) -> pa.RecordBatch | None:
-    """One row for each anchor and context of a segment: key, where (segment, context, whether in several ids), lowest id."""
+def _collect(path: str) -> tuple[np.ndarray, ...] | None:
+    """One row for each anchor and context of a segment: key, context and whether in several ids, lowest id."""
     held: list[tuple[np.ndarray, ...]] = []
     for _, ids, raw, off in _chunks(path):
         doc, _, _, key, ctx = contexts_of(raw, off)
@@ -211,14 +215,13 @@ def _collect(seg: int, path: str) -> pa.RecordBatch | None:
     at = np.flatnonzero(new)
     low, high = np.minimum.reduceat(ident[order], at), np.maximum.reduceat(ident[order], at)
     back = np.argsort(low, kind="stable")  # by id: compresses well
-    where = (np.int64(seg) << np.int64(_CTX_BITS + 1)) | (c[at] << np.int64(1)) | (high > low)
-    return pa.record_batch([pa.array(k[at][back]), pa.array(where[back]), pa.array(low[back])], ["key", "place", "low"])
+    place = (c[at] << np.int64(1)) | (high > low)
+    return k[at][back], place[back], low[back]
 
 
-def _judge(key: np.ndarray, place: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
+def _judge(key: np.ndarray, seg: np.ndarray, place: np.ndarray, low: np.ndarray) -> tuple[np.ndarray, ...]:
     """Rows of whole anchors, sorted by key: what each segment must know. (seg, key, ctx, first, many, gives)"""
-    ctx = (place >> np.int64(1)) & np.int64((1 << _CTX_BITS) - 1)
-    seg = place >> np.int64(_CTX_BITS + 1)
+    ctx = place >> np.int64(1)
     starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
     sizes = np.diff(np.append(starts, len(key)))
     alone = np.repeat(sizes == 1, sizes) & ((place & 1) == 0)
@@ -284,12 +287,36 @@ def _removed(ids: np.ndarray, raw: np.ndarray, off: np.ndarray, verdicts: _Verdi
 
 
 def segments(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(seg, path): the documents as files of bounded size in the shared folder."""
-    spark = docs.sparkSession
-    path = new_path(spark, "segments")
-    docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).write.option("maxRecordsPerFile", SEGMENT_DOCS).option("compression", "zstd").parquet(path)
-    files = sorted(spark.read.parquet(path).inputFiles())
-    return spark.createDataFrame(list(enumerate(files)), "seg long, path string").repartition(max(1, len(files)), "seg")
+    """(seg, path): the documents as files of bounded size in the shared folder. Only files that are named here count."""
+    folder = new_path(docs.sparkSession, "segments")
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, top = fs.FileSystem.from_uri(folder)
+        store.create_dir(top, recursive=True)
+        held: list[pa.RecordBatch] = []
+        docs_, size, n = 0, 0, TaskContext.get().partitionId() << 32
+
+        def close() -> pa.RecordBatch:
+            name = f"{uuid.uuid4().hex}.parquet"
+            pq.write_table(pa.Table.from_batches(held), f"{top}/{name}", filesystem=store, compression="zstd", row_group_size=READ_ROWS * 8)
+            return pa.record_batch([pa.array([n], pa.int64()), pa.array([f"{folder}/{name}"])], ["seg", "path"])
+
+        for b in batches:
+            lo = 0
+            while lo < b.num_rows:
+                ends = np.cumsum(pc.binary_length(b.column(1).slice(lo)).fill_null(0).to_numpy(zero_copy_only=False))
+                take = int(np.searchsorted(ends, SEGMENT_BYTES - size, side="right")) + 1
+                take = min(take, SEGMENT_DOCS - docs_, b.num_rows - lo)
+                held.append(b.slice(lo, take))
+                docs_, size, lo = docs_ + take, size + int(ends[take - 1]), lo + take
+                if docs_ >= SEGMENT_DOCS or size >= SEGMENT_BYTES:
+                    yield close()
+                    held, docs_, size, n = [], 0, 0, n + 1
+        if held:
+            yield close()
+
+    return rows.mapInArrow(run, "seg long, path string")
 
 
 def _sorted_groups(df: DataFrame, key: str, schema: str, f) -> DataFrame:
@@ -325,7 +352,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     kept: the text's UTF-8 bytes that stay (removal may cut within a character). n_spans: maximal runs of removed bytes.
     Matches never cross documents; equal ids are not smaller than each other; a null id is larger than all others. A null
-    text is empty. Other columns are left out. No rows: no rows.
+    text is empty. Texts of any length are hashed whole, in one piece each. Other columns are left out, whatever their names.
+    No rows: no rows.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
@@ -335,14 +363,15 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for seg, path in zip(*(c.to_pylist() for c in b.columns), strict=True):
-                if (out := _collect(seg, path)) is not None:
-                    for lo in range(0, out.num_rows, 50_000):
-                        yield out.slice(lo, 50_000)
+                if (out := _collect(path)) is not None:
+                    for lo in range(0, len(out[0]), 50_000):
+                        key, place, low = (pa.array(x[lo : lo + 50_000]) for x in out)
+                        yield pa.record_batch([key, pa.array(np.full(len(key), seg)), place, low], ["key", "seg", "place", "low"])
 
-    seen = segs.repartition(n, "seg").mapInArrow(collect, "key long, place long, low long")
+    seen = segs.repartition(n, "seg").mapInArrow(collect, "key long, seg long, place long, low long")
 
     def judge(t: pa.Table) -> Iterator[pa.RecordBatch]:
-        out = _judge(*(t.column(i).to_numpy() for i in range(3)))
+        out = _judge(*(t.column(i).to_numpy() for i in range(4)))
         if len(out[0]):
             yield pa.record_batch([pa.array(x) for x in out], ["seg", "key", "ctx", "first", "many", "gives"])
 

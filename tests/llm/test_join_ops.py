@@ -105,8 +105,20 @@ def test_suffix_array():
             assert b[i : i + d] == b[j : j + d] and b[i : i + d + 1] != b[j : j + d + 1]
 
 
-def test_repeated_passages(spark, docs, monkeypatch):
-    monkeypatch.setattr(suffixes, "SEGMENT_DOCS", 40)
+def test_segments_of_any_number():
+    """Rows of one anchor and two contexts in segments far beyond 2^19, and beyond 2^32."""
+    n = 50
+    seg = np.concatenate([np.arange(n) + 600_000, np.arange(n) + (7 << 32)])
+    ctx = np.arange(2 * n, dtype=np.int64) % 2 + (1 << 61)
+    out = suffixes._judge(np.full(2 * n, -5, np.int64), seg, ctx << 1, np.arange(2 * n, dtype=np.int64))
+    assert sorted(out[0].tolist()) == sorted(seg.tolist())
+    for s, c, first, many, gives in zip(out[0].tolist(), out[2].tolist(), out[3].tolist(), out[4].tolist(), out[5].tolist(), strict=True):
+        assert c == ctx[seg == s][0] and first == c - (1 << 61) and many and gives == (s in (600_000, 600_001))
+
+
+@pytest.mark.parametrize("size", [("SEGMENT_DOCS", 40), ("SEGMENT_BYTES", 3000)])
+def test_repeated_passages(spark, docs, monkeypatch, size):
+    monkeypatch.setattr(suffixes, *size)
     rng = random.Random(4)
     word = lambda: "".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 9)))
     passages = [" ".join(word() for _ in range(rng.randint(5, 40))) for _ in range(12)]
