@@ -3,8 +3,9 @@
 Every source is cut into blocks of documents (by a hash of the document). From the targets follows how often a source
 is taken whole and what remains; the remainder is met exactly by whole permuted blocks and one last block that is taken
 document by document. The block quotas of all sources are then split among the output shards by a binary tree: a node
-halves its shards and draws, without replacement, how many blocks of each source go left. Each shard gets disjoint runs
-of every source's permuted blocks and shuffles what it got by a hash of its own.
+halves its shards and draws, without replacement, how many blocks of each source go left. Each shard draws disjoint runs
+of every source's permuted blocks, as many as the tree gave it, and shuffles what it got by a hash of its own. What the mix
+takes of a document is what the shards drew of it.
 """
 
 from __future__ import annotations
@@ -20,8 +21,10 @@ from ._common import read_table, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (3, 1, 2)
-BLOCKS = 256
-SHARDS = 16
+#: Shards, and blocks of a source, at least and at most; words of a shard, and documents of a block, in between. All sources
+#: together have at most as many blocks as the last says, or one each.
+SHARDS, SHARDS_MOST, SHARD_WORDS = 16, 65_536, 4_000_000
+BLOCKS, BLOCKS_MOST, BLOCK_DOCS, ALL_BLOCKS = 256, 65_536, 2_000, 4_000_000
 #: Sources are named in a mixing recipe, one weight each; more than this is not a recipe and raises.
 MAX_SOURCES = 100_000
 
@@ -71,19 +74,26 @@ def split_tree(quotas: np.ndarray, shards: int, seed: int) -> np.ndarray:
     return out
 
 
-def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, shards: int = SHARDS, blocks: int | None = None, seed: int = 9, whole: bool = False, keep: Sequence[str] = ()) -> DataFrame:
+def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", weights: Sequence[float] = WEIGHTS, share: float = 1.5, most: float = 2.0, shards: int | None = None, blocks: int | None = None, seed: int = 9, whole: bool = False, keep: Sequence[str] = ()) -> DataFrame:
     """One row for each document: id, source, size, source_size, target, taken, copies, then the columns in keep.
 
     taken: words the mix takes, repeats counted. copies: one struct (shard, place, words) for each time the document is
     taken; words are below size only for a source's last document, and never with whole=True. A document that the mix
     doesn't take has taken 0 and no copies; so has a null or blank text, of size 0. A null source is a source, last in
     order. Equal rows are documents of their own. weights repeat over the sources in code point order. Equal inputs give
-    equal mixes. Columns not named here are not looked at; those in keep are prefixed with keep_. No rows: no rows.
-    blocks: how many blocks each source is cut into; by default one for 2,000 documents, from 256 to 65,536.
+    equal mixes. A very long text is a document as any other: it can exceed what a source has left, then nothing (whole=True)
+    or a part of it is counted. Columns not named here are not looked at; those in keep are prefixed with keep_. No rows: no
+    rows. shards, blocks: by default as many as the words and documents call for.
     """
+    return _mix(docs, id_col, text_col, source_col, weights, share, most, shards, blocks, seed, whole, keep)[0]
+
+
+def _mix(docs: DataFrame, id_col: str, text_col: str, source_col: str, weights: Sequence[float], share: float, most: float, shards: int | None, blocks: int | None, seed: int, whole: bool, keep: Sequence[str]) -> tuple[DataFrame, int]:
+    """mix() and how many shards there are."""
     spark = docs.sparkSession
     if blocks is None:
-        blocks = max(256, min(65_536, docs.count() // 2_000))
+        n, sources = docs.agg(F.count("*"), F.count_distinct(F.struct(source_col))).first()
+        blocks = max(1, min(max(BLOCKS, min(BLOCKS_MOST, n // BLOCK_DOCS)), ALL_BLOCKS // max(1, sources)))
     rows = docs.select(
         F.col(id_col).alias("_id"), F.col(source_col).alias("_src"), F.xxhash64(F.col(id_col), F.col(text_col), F.lit(seed)).alias("_rk"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("_size"), *(F.col(c).alias(f"keep_{c}") for c in keep),
@@ -97,6 +107,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
         raise ValueError(f"more than {MAX_SOURCES} sources")
     found = sorted(((r["_src"], r["n"]) for r in found), key=lambda x: (x[0] is None, x[0] or ""))
     targets = water_fill([n for _, n in found], [weights[i % len(weights)] for i in range(len(found))], share, most)
+    if shards is None:
+        shards = max(SHARDS, min(SHARDS_MOST, int(share * sum(n for _, n in found)) // SHARD_WORDS))
     plan = []
     for (src, n), target in zip(found, targets, strict=True):
         goal = round(target)
@@ -114,10 +126,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     # The tree deals out block instances: of a source, instances _first .. _first + _times of its permuted blocks.
     quota = {r["_src"]: r["q"] for r in placed.groupBy("_src").agg(F.sum("_times").alias("q")).collect()}
     dealt = split_tree(np.array([quota.get(s, 0) for s, _ in found], np.int64), shards, seed)
-    ends = np.cumsum(dealt, axis=0)
-    runs = spark.createDataFrame([(s, [int(x) for x in ends[:, i]]) for i, (s, _) in enumerate(found)], "_s string, _ends array<long>")
-    at = placed.join(F.broadcast(runs), F.expr("_src <=> _s")).withColumn("_shards", F.expr(f"""case when _times > 0 then transform(sequence(0L, _times - 1L),
-        i -> cast(size(filter(_ends, e -> e <= _first + i)) as int)) end"""))
+    runs = spark.createDataFrame([(s, np.repeat(np.arange(shards), dealt[:, i]).tolist()) for i, (s, _) in enumerate(found)], "_s string, _drawn array<int>")
+    at = placed.join(F.broadcast(runs), F.expr("_src <=> _s")).withColumn("_shards", F.expr("case when _times > 0 then slice(_drawn, cast(_first + 1 as int), cast(_times as int)) end"))
     at = at.select(F.col("_src").alias("_s"), F.col("_block").alias("_b"), "source_size", "target", "_passes", "_rest", "_before", "_full", "_edge", "_shards")
     if len(found) * blocks <= 40_000:  # some 4 MB; beyond, an equi-join
         at = F.broadcast(at)
@@ -130,16 +140,19 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     rest = joined.where("not _edge").withColumn("_part", F.expr("case when _full then _size else 0L end"))
     copies = """filter(transform(sequence(0, _passes), i -> struct(get(_shards, i) as shard, xxhash64(_rk, i) as place,
         case when i < _passes then _size else _part end as words)), t -> t.words > 0)"""
-    return rest.unionByName(edge).withColumn("copies", F.expr(copies)).select(
+    out = rest.unionByName(edge).withColumn("copies", F.expr(copies))
+    out = out.select(
         F.col("_id").alias(id_col), F.col("_src").alias("source"), F.col("_size").alias("size"), "source_size", "target",
-        F.expr("_passes * _size + _part").alias("taken"), "copies", *(f"keep_{c}" for c in keep),
+        F.aggregate("copies", F.lit(0).cast("long"), lambda a, c: a + c["words"]).alias("taken"), "copies", *(f"keep_{c}" for c in keep),
     )
+    return out, shards
 
 
-def shuffled(mixed: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """The mix as its shards, a row for each copy, shuffled within its shard."""
-    rows = mixed.select("*", F.inline("copies")).drop("copies")
-    return rows.repartitionByRange(shards, "shard", "place").sortWithinPartitions("shard", "place")
+def shuffled(mixed: DataFrame, shards: int | None = None) -> DataFrame:
+    """The mix as its shards: a row for each copy, partition k holding shard k, shuffled within it by place."""
+    if shards is None:
+        shards = (mixed.agg(F.max(F.array_max(F.transform("copies", lambda c: c["shard"])))).first()[0] or 0) + 1
+    return mixed.select("*", F.inline("copies")).drop("copies").repartitionById(shards, "shard").sortWithinPartitions("place")
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -148,6 +161,11 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them: whole ones only, with the columns of documents."""
-    mixed = mix(docs, whole=True, keep=docs.columns)
-    return mixed.select(F.explode("copies"), *(F.col(f"keep_{c}").alias(c) for c in docs.columns)).drop("col")
+    """Documents as often as the mix takes them, whole ones only, with the columns of documents: a partition for each shard
+    that the tree filled, in its shuffled order.
+
+    Null and blank texts have no words and go. Other columns stay, whatever their names. No rows: no rows.
+    """
+    mixed, shards = _mix(docs, "doc_id", "text", "source", WEIGHTS, 1.5, 2.0, None, None, 9, True, docs.columns)
+    rows = shuffled(mixed.select("copies", *(f"keep_{c}" for c in docs.columns)), shards)
+    return rows.select(*(F.col(f"keep_{c}").alias(c) for c in docs.columns))
