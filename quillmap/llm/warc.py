@@ -71,7 +71,8 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     """Write all pages as archives under folder (shared by all executors); return the manifest (path, captures, bytes).
 
     Of records with equal payloads of at least 100 bytes that with the smallest id is the response, others revisit it; ids
-    that are null come last, and equal rows of the smallest id are all responses. A null html is an empty payload. Only
+    that are null come last, and equal rows of the smallest id are all responses. A null html is an empty payload; one of
+    any length is one record, held at once. Columns of other names are left out. No rows: an empty manifest. Only
     files in the manifest count: a lost task's leftovers are not in it, for names are unique to each attempt.
     """
     bounded_batches(pages.sparkSession)
@@ -79,7 +80,9 @@ def write_archives(pages: DataFrame, folder: str, id_col: str = "page_id", url_c
     rows = rows.withColumn("_digest", F.when(F.length("_html") >= REVISIT_BYTES, F.sha2("_html", 256)))
     same = rows.where("_digest is not null").groupBy("_digest").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"), F.min_by("_url", "_id").alias("_refers"))
     same = same.where("_n > 1").select(F.col("_digest").alias("_d"), "_first", "_refers")
-    rows = rows.join(same, F.expr("_digest = _d"), "left").select("_id", "_url", "_html", F.expr("_d is not null and not (_id <=> _first)").alias("_revisit"), "_refers")
+    # Pages without a digest have a key of their own each, so that they are dealt out evenly; it meets nothing.
+    rows = rows.withColumn("_key", F.coalesce("_digest", F.concat(F.lit("-"), F.xxhash64("_id", "_url", "_html").cast("string"))))
+    rows = rows.join(same, F.expr("_key = _d"), "left").select("_id", "_url", "_html", F.expr("_d is not null and not (_id <=> _first)").alias("_revisit"), "_refers")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, top = _open(folder)
@@ -164,18 +167,17 @@ def read_records(manifest: DataFrame) -> DataFrame:
 
 
 def assemble(records: DataFrame) -> DataFrame:
-    """One nested row per capture: capture_id, response (a struct), request (a struct), metadata (a map), refers_to.
+    """One nested row per capture: capture_id, response (a struct), request (a struct), metadata (a map), n_records.
 
     Records meet through concurrent-to identifiers; one that names none stands for itself. A capture without a response or
     revisit record (its archive is missing) has a null response; warcinfo records belong to none and are left out.
-    A revisit's refers_to is the capture_id of the response whose payload digest it repeats, null if that isn't there.
     """
     body = F.struct("record_type", "target_uri", "payload_digest", "profile", "head", "payload")
     parts = records.where("record_type in ('response', 'revisit', 'request', 'metadata')")
     rows = parts.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(
         F.first(F.when(F.col("record_type").isin("response", "revisit"), body), True).alias("response"),
         F.first(F.when(F.col("record_type") == "request", F.struct("record_id", "target_uri", "head")), True).alias("request"),
-        F.first(F.when(F.col("record_type") == "metadata", F.col("fields")), True).alias("metadata"),
+        F.first(F.when(F.col("record_type") == "metadata", F.col("fields")), True).alias("metadata"), F.count("*").alias("n_records"),
     )
     return rows
 
@@ -189,23 +191,25 @@ def resolve_revisits(captures: DataFrame, id_field: str = "pageId") -> DataFrame
     kind = F.col("response.record_type")
     slim = captures.select(kind.alias("_kind"), key.alias("_d"), F.col("metadata")[id_field].cast("long").alias("_to"), F.col("metadata")["payloadBytes"].cast("long").alias("_n"))
     first = slim.where("_kind = 'response'").where(F.col("_n") >= REVISIT_BYTES).groupBy("_d").agg(F.min("_to").alias("refers_to"))
-    return captures.withColumn("_key", F.when(kind == "revisit", key)).join(first, F.expr("_key = _d"), "left").drop("_key", "_d")
+    # Responses have keys of their own, so that they are dealt out evenly; these meet nothing.
+    own = F.concat(F.lit("-"), F.coalesce(F.col("metadata")[id_field], F.lit("")), key)
+    return captures.withColumn("_key", F.when(kind == "revisit", key).otherwise(own)).join(first, F.expr("_key = _d"), "left").drop("_key", "_d")
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = new_path(spark, "warc")
     manifest = write_archives(read_table(spark, sf_dir, "pages"), folder)
     captures = assemble(read_records(manifest)).select(
-        "metadata", F.col("response.record_type").alias("record_type"), F.col("response.payload_digest").alias("_header"),
+        "metadata", "n_records", F.length("request.head").alias("_asked"), F.col("response.record_type").alias("record_type"), F.col("response.payload_digest").alias("_header"),
         F.octet_length("response.payload").cast("long").alias("_n"), F.sha2("response.payload", 256).alias("_sha"),
     )
-    captures = captures.select("metadata", F.struct("record_type", F.col("_header").alias("payload_digest")).alias("response"), "_n", "_sha")
+    captures = captures.select("metadata", "n_records", (F.col("_asked") > 0).alias("has_request"), F.struct("record_type", F.col("_header").alias("payload_digest")).alias("response"), "_n", "_sha")
     slim = written(captures, "warc-captures")
     return resolve_revisits(slim).select(
         F.col("metadata")["pageId"].cast("long").alias("page_id"),
         F.coalesce("_n", F.col("metadata")["payloadBytes"].cast("long")).alias("payload_bytes"),
         F.coalesce("_sha", F.substring_index("response.payload_digest", ":", -1)).alias("payload_digest"),
-        F.col("response.record_type").alias("record_type"), "refers_to",
+        F.col("response.record_type").alias("record_type"), "refers_to", "n_records", "has_request",
     )
 
 
@@ -214,6 +218,6 @@ with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(c
 f as (select payload_digest as d, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)
 select page_id, payload_bytes, payload_digest,
   case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
-  case when payload_bytes >= 100 and page_id <> first then first end as refers_to
+  case when payload_bytes >= 100 and page_id <> first then first end as refers_to, 3 as n_records, true as has_request
 from p left join f on d = payload_digest
 """
