@@ -180,6 +180,52 @@ def test_mixing(spark, docs):
     assert mixing.mix(docs([])).count() == 0 and mixing.shuffled(mixing.mix(docs(rows))).count() == sum(len(r.copies) for r in out)
 
 
+def test_mixing_against_brute_force(spark, docs):
+    """What each document gives, by a plain walk over permuted blocks; only the hashes are Spark's."""
+    rng = random.Random(6)
+    rows = [*ODD, *((1000 + i, " ".join(["w"] * rng.randint(0, 60)), "en", rng.choice(["a", "b", "b", "b", "c", None])) for i in range(700))]
+    frame = docs(rows)
+    blocks, seed = 16, 9
+    key = F.xxhash64("doc_id", "text", F.lit(seed))
+    hashed = frame.select("doc_id", "source", "text", key.alias("rk"), F.xxhash64(F.lit(seed + 1), key).alias("turn"), F.xxhash64(F.lit(seed), F.pmod(key, F.lit(blocks)).cast("int")).alias("order")).collect()
+    size = lambda t: len((t or "").encode().split())
+    sources = sorted({r.source for r in hashed}, key=lambda s: (s is None, s or ""))
+    total = [sum(size(r.text) for r in hashed if r.source == s) for s in sources]
+    want = []
+    for s, n, target in zip(sources, total, mixing.water_fill(total, [(3, 1, 2)[i % 3] for i in range(len(sources))]), strict=True):
+        passes, left = divmod(round(target), n) if n else (0, 0)
+        for r in sorted((r for r in hashed if r.source == s), key=lambda r: (r.order, r.rk % blocks, r.turn, r.rk, r.doc_id is not None, r.doc_id or 0)):
+            part = min(left, size(r.text))
+            left -= part
+            want.append((r.doc_id, size(r.text), s, passes * size(r.text) + part))
+    out = mixing.mix(frame, blocks=blocks, shards=5).collect()
+    assert sorted(map(repr, want)) == sorted(repr((r.doc_id, r.size, r.source, r.taken)) for r in out)
+    assert all(r.taken == sum(c.words for c in r.copies) for r in out) and {c.shard for r in out for c in r.copies} == set(range(5))
+
+
+def test_shards_read_back(spark, docs, monkeypatch, tmp_path):
+    """The pipeline's stage writes one file for each shard that the tree filled, in shuffled order."""
+    monkeypatch.setattr(mixing, "SHARD_WORDS", 500)
+    rng = random.Random(9)
+    rows = [*ODD, *((1000 + i, f"n{i} " + "w " * rng.randint(0, 60), "en", rng.choice(["a", "b", "b", None])) for i in range(600))]
+    frame = docs(rows).withColumn("shard", F.lit("mine")).withColumn("copies", F.lit(1))
+    out = mixing.pipeline_stage(spark, frame, "")
+    assert out.columns == frame.columns
+    out.write.parquet(str(tmp_path / "shards"))
+    mixed, shards = mixing._mix(frame, "doc_id", "text", "source", mixing.WEIGHTS, 1.5, 2.0, None, None, 9, True, ["text"])
+    want: dict = {}
+    for r in mixed.collect():
+        for c in r.copies:
+            want.setdefault(c.shard, []).append((c.place, r.doc_id, r.keep_text))
+    files = spark.read.parquet(str(tmp_path / "shards")).select(F.input_file_name().alias("f"), F.monotonically_increasing_id().alias("n"), "doc_id", "text").orderBy("f", "n").collect()
+    got: dict = {}
+    for r in files:
+        got.setdefault(r.f, []).append((r.doc_id, r.text))
+    assert shards > 16 and len(got) == len(want)
+    assert sorted(map(repr, got.values())) == sorted(repr([(i, t) for _, i, t in sorted(w, key=lambda x: x[0])]) for w in want.values())
+    assert mixing.pipeline_stage(spark, docs([]), "").count() == 0
+
+
 def test_langid(spark, docs):
     words = {"en": "the of and to in that is was for on", "fr": "le la et les des une que est pour dans", "de": "der die und das ist nicht ein mit von zu"}
     rng = random.Random(2)
@@ -201,6 +247,79 @@ def test_langid(spark, docs):
     assert stay.columns == frame.columns and stay.count() == len(rows) + 2
 
 
+def lang_brute(rows):
+    """Histograms by plain counting, then every bit and codeword by plain sums."""
+    import math
+
+    fold = lambda x: x + 32 if 65 <= x <= 90 else x if 97 <= x <= 122 or x >= 128 else 32
+
+    def grams(t):
+        b = [32, 32, *map(fold, t.encode())]
+        return [(((b[i] << 16 | b[i + 1] << 8 | b[i + 2]) * 0x9E3779B1) & 0xFFFFFFFF) >> 17 for i in range(len(b) - 2)]
+
+    counts: dict = {}
+    for _, t, lang, _ in rows:
+        if t is not None and lang is not None:
+            counts.setdefault(lang, Counter()).update(grams(t))
+    langs = sorted(counts)
+    code = langid.codewords(len(langs))
+    p = {x: {g: (counts[x][g] + 0.5) / (sum(counts[x].values()) + 0.5 * langid.BUCKETS) for g in range(langid.BUCKETS)} for x in langs}
+    weight, shift, half = [], [], []
+    for j in range(code.shape[1]):
+        up, down = ([x for k, x in enumerate(langs) if code[k, j] == s] for s in (1, -1))
+        w = [math.log(sum(p[x][g] for x in up) / len(up)) - math.log(sum(p[x][g] for x in down) / len(down)) for g in range(langid.BUCKETS)]
+        at = {x: sum(p[x][g] * w[g] for g in range(langid.BUCKETS)) for x in langs}
+        lo, hi = min(at[x] for x in up), max(at[x] for x in down)
+        weight.append(w)
+        shift.append((lo + hi) / 2)
+        half.append(max((lo - hi) / 2, 0.02))
+    out = {}
+    for i, t, _, _ in rows:
+        if not t or not any(c.isalpha() for c in t):
+            out[i] = ("und", 0.0)
+            continue
+        g = grams(t)
+        margin = [(sum(weight[j][x] for x in g) / len(g) - shift[j]) / half[j] for j in range(code.shape[1])]
+        loss = [sum(h / sum(half) * math.log1p(math.exp(-6 * m * c)) for h, m, c in zip(half, margin, row, strict=True)) for row in code]
+        e = [math.exp(4 * (min(loss) - x)) for x in loss]
+        out[i] = (langs[loss.index(min(loss))], max(e) / sum(e))
+    return out
+
+
+def test_langid_against_brute_force(spark, docs):
+    words = {"en": "the of and to in that is", "fr": "le la été des une que", "de": "der die und das für", "eo": "la kaj estas ĉiu"}
+    rng = random.Random(5)
+    rows = [(i, " ".join(rng.choice(words[la].split()) for _ in range(rng.randint(1, 12))), la, "s") for i in range(60) for la in [rng.choice(list(words))]]
+    rows += [(100, "The kaj", None, "s"), (101, "?", "en", "s"), (102, "été", "fr", "s"), (103, None, "en", "s"), (104, "", "de", "s")]
+    frame = docs(rows)
+    got = {r.doc_id: (r.lang_pred, r.score) for r in langid.identify(frame, langid.fit(frame)).collect()}
+    want = lang_brute(rows)
+    assert got.keys() == want.keys()
+    for i, (lang, score) in want.items():
+        assert got[i][0] == lang and got[i][1] == pytest.approx(score, abs=1e-4)  # weights are kept in single precision
+
+
+def test_many_labels(spark, docs, monkeypatch):
+    """More labels than a task holds; each has a word of its own."""
+    monkeypatch.setattr(langid, "HELD", 16)
+    rows = [(i, f"{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}zq " * 6, f"l{i:03}", "s") for i in range(300)]
+    frame = docs(rows)
+    model = langid.fit(frame)
+    assert len(model.langs) == 300 and len(np.unique(model.code, axis=0)) == 300
+    got = langid.identify(frame, model, keep=("lang",)).collect()
+    assert np.mean([r.lang_pred == r.keep_lang for r in got]) > 0.9
+    assert len(np.unique(langid.codewords(3000), axis=0)) == 3000
+
+
+def test_language_stage(spark, docs):
+    rows = [(i, "the cat and the dog sat in the house of the man", "en", "s") for i in range(20)] + [(30, "123 !?", "en", "s"), (31, "", None, None), (32, None, "fr", "s"), (33, "Ω", None, "s")]
+    frame = docs(rows).withColumn("lang_pred", F.lit("x")).withColumn("rejected", F.lit(True))
+    out = langid.pipeline_stage(spark, frame, "")
+    assert out.columns == frame.columns and sorted(r.doc_id for r in out.collect()) == [*range(20), 33]
+    blind = docs([(i, t, None, s) for i, t, _, s in rows])  # nothing learned: every text with a letter stays
+    assert langid.pipeline_stage(spark, blind, "").count() == 21 and langid.pipeline_stage(spark, docs([]), "").count() == 0
+
+
 def test_warc_round_trip(spark):
     big, other = "é" * 200, "<p>" + "x" * 150
     rows = [(5, "http://a/b?c=1", big, 1), (2, "http://é/\r\nX: y", big, 1), (9, None, big, 1), (1, "u", "small", 1), (3, "u", "small", 1), (4, "u", None, 1), (None, "n", other, 1), (7, "n", other, 1), (8, "d", "z" * 300, 1), (8, "d", "z" * 300, 1)]
@@ -209,6 +328,7 @@ def test_warc_round_trip(spark):
     assert manifest.agg(F.sum("captures")).first()[0] == len(rows)
     records = warc.read_records(manifest)
     kinds = {r.record_type: r.n for r in records.groupBy("record_type").agg(F.count("*").alias("n")).collect()}
+    assert {r.n_records for r in warc.assemble(records).select("n_records").collect()} == {3}
     assert kinds["request"] == kinds["metadata"] == len(rows) and kinds["response"] + kinds["revisit"] == len(rows)
     out = warc.resolve_revisits(warc.assemble(records)).collect()
     assert len(out) == len(rows)
