@@ -26,9 +26,9 @@ from pyspark.sql import functions as F
 from ._common import bounded_batches, mix64, new_path, private, read_table, row_key, written
 
 #: Shards at least; hot keys and lines of a shard, about, where there are more.
-SHARDS, SHARD_KEYS, SHARD_LINES = 64, 1 << 18, 1 << 21
-#: Keys that are decided without a filter, at most; references that such a key has, at least.
-HEAVY, HEAVY_REFS = 10_000, 1000
+SHARDS, SHARD_KEYS, SHARD_LINES = 256, 1 << 18, 1 << 21
+#: Keys that are decided without a filter, at most: those with more than this part of all references.
+HEAVY = 1000
 FILTER = "shard int, shards int, n long, room long, filter binary"
 _WS = b" \t\n\r\x0b\x0c"
 
@@ -294,7 +294,7 @@ def drop_lines(docs: DataFrame, refs: DataFrame, filters: DataFrame, min_docs: i
     docs = docs.drop("n_lines", "n_dropped")
     first = filters.select("shards").first()
     total = refs.agg(F.coalesce(F.sum("refs"), F.lit(0))).first()[0]
-    many = refs.where(F.col("refs") > max(min_docs, HEAVY_REFS, total // HEAVY)).select("k1", "k2").collect()  # at most HEAVY
+    many = refs.where(F.col("refs") > max(min_docs, total // HEAVY)).select("k1", "k2").collect()  # at most HEAVY
     heavy = spark.sparkContext.broadcast(frozenset(np.array([r["k1"], r["k2"]], "<i8").tobytes() for r in many))
     passed = written(_sieved(_lines(_rows(docs, id_col, text_col), heavy=heavy, shards=first[0] if first else 1), filters), "line-hits")
     hot = refs.where(F.col("refs") >= min_docs).select("k1", "k2")

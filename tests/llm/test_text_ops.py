@@ -108,7 +108,6 @@ def test_line_dedup_against_brute_force(spark, docs, monkeypatch, heavy, tmp_pat
     rows += [*ODD, *rows[:3], (90, "the line of all " * 2000 + "\n" + "the line of all\n" * 3000, "en", "s")]
     if heavy:
         monkeypatch.setattr(linededup, "HEAVY", 10)
-        monkeypatch.setattr(linededup, "HEAVY_REFS", 50)
     frame = docs(rows).withColumnsRenamed({"n_chars": "_drops"}).withColumn("_i", F.lit("x")).withColumn("shard", F.lit(1))
     out = linededup.dedup(frame, state=str(tmp_path / "state"))
     assert out.columns == [*frame.columns, "n_lines", "n_dropped"]
