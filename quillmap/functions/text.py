@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Word characters, white space and digits in the sense of Unicode-aware regular expressions.
-WORD = r"\p{L}\p{N}_"
-SPACE = r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
-DIGIT = r"\p{Nd}"
-BEFORE, AFTER = f"(?<![{WORD}])", f"(?![{WORD}])"
-_S = f"[{SPACE}]"
-
-# The words of the cleaning rules and the roles too generic to name an occupation.
-SENIORITY = ["sr", "snr", "senior", "jr", "junior", "lead", "principal", "staff", "entry[ -]?level", "assistant", "associate", "head of", "deputy"]
-JOB_TYPE = ["ft", "pt", f"f{_S}*/{_S}*t", f"p{_S}*/{_S}*t", f"full(?:{_S}|-)?time", f"part(?:{_S}|-)?time", "prn", f"per{_S}+diem", "temp", "temporary", "seasonal", "remote", "onsite", f"on(?:{_S}|-)site", "hybrid", "w2", "1099", "hourly", "salaried"]
-RANK = ["sr", "snr", "senior", "jr", "junior", "lead", "principal", "staff", f"entry(?:{_S}|-)?level", "experienced", "trainee", "graduate", f"new{_S}+grad", f"mid(?:{_S}|-)?level", "deputy"]
-ROLE_PREFIX = ["associate", "assistant"]
+# The patterns of the cleaning rules, as Unicode-aware regular expressions write them, and the roles too
+# generic to name an occupation. The splitters and the requisition code are case-sensitive, the others are not.
+PARENTHESES = r"[\(\[\{].*?[\)\]\}]"
+SPLITTERS = r"\s+-\s+|\s+\|\s+|\s+/\s+|\s+at\s+|\s*,\s*|\s+:\s+"
+SENIORITY_PREFIX = r"^(sr|snr|senior|jr|junior|lead|principal|staff|entry[ -]?level|assistant|associate|head of|deputy)\b[.\s]*"
+LEVEL_SUFFIX = r"\s+(i{1,3}|iv|v|\d)$"
+JOB_TYPE_WORD = r"\b(ft|pt|f\s*/\s*t|p\s*/\s*t|full[\s-]?time|part[\s-]?time|fulltime|parttime|prn|per\s+diem|temp|temporary|seasonal|remote|onsite|on[\s-]site|hybrid|w2|1099|hourly|salaried)\b"
+RANK_PREFIX = r"^\s*(sr|snr|senior|jr|junior|lead|principal|staff|entry[\s-]?level|experienced|trainee|graduate|new\s+grad|mid[\s-]?level|deputy)\b[.\s]*"
+RANK_SUFFIX = r"[\s,-]+(sr|snr|senior|jr|junior|lead|principal|staff|entry[\s-]?level|experienced|trainee|graduate|new\s+grad|mid[\s-]?level|deputy)\s*$"
+ROLE_PREFIX_WORD = r"^\s*(associate|assistant)\b[.\s]*"
+COMPANY_TAIL = r"\s+at\s+.*$"
+REQUISITION = r"[\s\-#]*\b\d[\w\d]*\s*$"
 GENERIC_ROLES = [
     "supervisor", "assistant", "technician", "director", "manager", "associate", "coordinator", "specialist", "consultant",
     "analyst", "lead", "engineer", "intern", "staff", "officer", "agent", "clerk", "operator", "worker", "professional",
@@ -26,21 +26,30 @@ GENERIC_ROLES = [
     "controller", "host",
 ]
 
-
-def _any(words: list[str]) -> str:
-    return "(?:" + "|".join(words) + ")"
-
-
-PARENTHESES = r"[\(\[\{][^\n]*?[\)\]\}]"
-SPLITTERS = f"{_S}+-{_S}+|{_S}+\\|{_S}+|{_S}+/{_S}+|{_S}+at{_S}+|{_S}*,{_S}*|{_S}+:{_S}+"
-SENIORITY_PREFIX = rf"(?iu)\A{_any(SENIORITY)}{AFTER}[.{SPACE}]*"
-LEVEL_SUFFIX = rf"(?iu){_S}+(?:i{{1,3}}|iv|v|{DIGIT})(?=\n?\z)"
-JOB_TYPE_WORD = rf"(?iu){BEFORE}{_any(JOB_TYPE)}{AFTER}"
-RANK_PREFIX = rf"(?iu)\A{_S}*{_any(RANK)}{AFTER}[.{SPACE}]*"
-RANK_SUFFIX = rf"(?iu)[{SPACE},-]+{_any(RANK)}{_S}*\z"
-ROLE_PREFIX_WORD = rf"(?iu)\A{_S}*{_any(ROLE_PREFIX)}{AFTER}[.{SPACE}]*"
-COMPANY_TAIL = rf"(?iu){_S}+at{_S}+[^\n]*(?=\n?\z)"
-REQUISITION = rf"[{SPACE}\-#]*{BEFORE}{DIGIT}[{WORD}]*{_S}*\z"
+# What \w, \s and \d stand for: word characters, white space and digits of all scripts.
+WORD = r"\p{L}\p{N}_"
+SPACE = r"\x09-\x0d\x1c-\x20\x85\xa0\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+DIGIT = r"\p{Nd}"
+_S = f"[{SPACE}]"
+_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+
+
+def pinned(pattern: str, ignore_case: bool = True) -> str:
+    """The pattern in the JVM's notation, with the classes above whatever the JVM's own are; `$` also stands before a last line break."""
+    inside = {"s": SPACE, "w": WORD, "d": DIGIT}
+    outside = {k: f"[{v}]" for k, v in inside.items()} | {"b": _EDGE}
+    plain = {"^": r"\A", "$": r"(?=\n?\z)", ".": r"[^\n]"}
+    out, bracket, i = [], False, 0
+    while i < len(pattern):
+        c = pattern[i]
+        if c == "\\":
+            i += 1
+            out.append((inside if bracket else outside).get(pattern[i], c + pattern[i]))
+        else:
+            out.append(c if bracket else plain.get(c, c))
+            bracket = c == "[" or bracket and c != "]"
+        i += 1
+    return ("(?iu)" if ignore_case else "") + "".join(out)
 
 
 def strip(c: Column) -> Column:
@@ -62,7 +71,7 @@ def normalize(c: Column) -> Column:
 
 
 def drop_parentheses(c: Column) -> Column:
-    return F.regexp_replace(c, PARENTHESES, " ")
+    return F.regexp_replace(c, pinned(PARENTHESES), " ")
 
 
 def _strip_while(c: Column, pattern: str, min_words: int) -> Column:
@@ -89,15 +98,15 @@ def _stage(c: Column, *steps) -> Column:
 
 def clean_title(c: Column) -> Column:
     """A raw title reduced to the occupation it names; empty if nothing is left, for null and blank ones too."""
-    level = lambda x: strip(F.regexp_replace(x, LEVEL_SUFFIX, ""))
+    level = lambda x: strip(F.regexp_replace(x, pinned(LEVEL_SUFFIX), ""))
     cleaned = _stage(
         c,
         lambda x: F.regexp_replace(drop_parentheses(F.lower(x)), r"[-/_|]+", " "),
-        lambda x: F.regexp_replace(F.regexp_replace(x, JOB_TYPE_WORD, " "), f"[^{WORD}{SPACE}+#.]", " "),
+        lambda x: F.regexp_replace(F.regexp_replace(x, pinned(JOB_TYPE_WORD), " "), f"[^{WORD}{SPACE}+#.]", " "),
         lambda x: level(squeeze(x)),
-        lambda x: _strip_while(x, RANK_PREFIX, 1),
-        lambda x: _strip_while(x, RANK_SUFFIX, 1),
-        lambda x: _strip_while(x, ROLE_PREFIX_WORD, 2),
+        lambda x: _strip_while(x, pinned(RANK_PREFIX), 1),
+        lambda x: _strip_while(x, pinned(RANK_SUFFIX), 1),
+        lambda x: _strip_while(x, pinned(ROLE_PREFIX_WORD), 2),
         lambda x: squeeze(level(x)),
     )
     return F.when(blank(c), "").otherwise(cleaned)
@@ -105,12 +114,12 @@ def clean_title(c: Column) -> Column:
 
 def peel(c: Column) -> Column:
     """One rank off the front, then a level off the end."""
-    return strip(F.regexp_replace(F.regexp_replace(c, SENIORITY_PREFIX, ""), LEVEL_SUFFIX, ""))
+    return strip(F.regexp_replace(F.regexp_replace(c, pinned(SENIORITY_PREFIX), ""), pinned(LEVEL_SUFFIX), ""))
 
 
 def title_segments(c: Column) -> Column:
     """The pieces between splitters, longest first, equals in order."""
-    parts = F.filter(F.transform(F.split(drop_parentheses(c), SPLITTERS), strip), lambda x: x != "")
+    parts = F.filter(F.transform(F.split(drop_parentheses(c), pinned(SPLITTERS, False)), strip), lambda x: x != "")
     keyed = F.transform(parts, lambda x, i: F.struct((-F.length(x)).alias("n"), i.alias("i"), x.alias("x")))
     return F.transform(F.array_sort(keyed), lambda s: s["x"])
 
@@ -131,8 +140,8 @@ def title_candidates(c: Column) -> Column:
 
 def prepare_text(c: Column, use_clean_title: bool = True) -> Column:
     """What is encoded of a title: without employer and requisition codes, cleaned, or raw where nothing is left."""
-    code = lambda x: strip(F.regexp_replace(x, REQUISITION, ""))
-    text = _stage(c, lambda x: strip(F.regexp_replace(x, COMPANY_TAIL, "")), code, code)
+    code = lambda x: strip(F.regexp_replace(x, pinned(REQUISITION, False), ""))
+    text = _stage(c, lambda x: strip(F.regexp_replace(x, pinned(COMPANY_TAIL), "")), code, code)
     text = F.when(text == "", c).otherwise(text)
     if use_clean_title:
         text = _stage(text, lambda x: F.struct(x.alias("raw"), clean_title(x).alias("clean")), lambda s: F.when(s["clean"] != "", s["clean"]).otherwise(strip(s["raw"])))

@@ -103,15 +103,9 @@ def shared_words() -> Column:
 _S = f"[{T.SPACE}]"
 
 
-def re2(pattern: str) -> str:
-    """A pattern for an engine without lookaround; its word boundaries are ASCII, as these inputs are."""
-    for a, b in ((T.BEFORE, r"\b"), (T.AFTER, r"\b"), ("(?iu)", "(?i)"), (r"(?=\n?\z)", "$"), (r"\A", "^"), (r"\z", "$")):
-        pattern = pattern.replace(a, b)
-    return pattern
-
-
-def sub(x: str, pattern: str, by: str = "") -> str:
-    return f"regexp_replace({x}, '{re2(pattern)}', '{by}', 'g')"
+def sub(x: str, pattern: str, by: str = "", ignore_case: bool = True) -> str:
+    """A fixed pattern as it stands: the classes of the engine that runs the SQL are ASCII, as these inputs are."""
+    return f"regexp_replace({x}, '{'(?i)' if ignore_case else ''}{pattern}', '{by}', 'g')"
 
 
 def strip(x: str) -> str:
@@ -148,7 +142,7 @@ _BARE = sub("title", T.PARENTHESES, " ")
 
 
 def _forms() -> str:
-    segments = f"list_filter(list_transform(string_split_regex({_BARE}, '{re2(T.SPLITTERS)}'), lambda y: {strip('y')}), lambda y: y <> '')"
+    segments = f"list_filter(list_transform(string_split_regex({_BARE}, '{T.SPLITTERS}'), lambda y: {strip('y')}), lambda y: y <> '')"
     ordered = f"list_transform(list_sort(list_transform({segments}, lambda y, i: {{'n': -length(y), 'i': i, 'y': y}})), lambda s: s.y)"
     whole = f"case when {_BARE} = title then [title] else [title, {_BARE}] end"
     return f"list_concat(list_concat({whole}, list_transform({whole}, lambda y: {peel('y')})), list_concat([clean], flatten(list_transform({ordered}, lambda y: [y, {peel('y')}]))))"
@@ -160,7 +154,7 @@ def _vec(x: str) -> str:
 
 
 def _prepared() -> str:
-    code = lambda x: strip(sub(x, T.REQUISITION))
+    code = lambda x: strip(sub(x, T.REQUISITION, ignore_case=False))
     q = f"select distinct title, {code(code(strip(sub('title', T.COMPANY_TAIL))))} as t from titles where title is not null"
     q = cleaned(f"select title, case when t = '' then title else t end as t from ({q})", "t")
     return f"select title, case when clean <> '' then clean else {strip('t')} end as text from ({q})"

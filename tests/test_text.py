@@ -17,18 +17,18 @@ def apply(spark, f, values):
 
 
 GOLDEN = [
-    (T.normalize, {"social worker (child protection)": "social worker child protection", "c++": "c++", "c#": "c#", "node.js": "node.js", "Nurse â\x80\x93 RN": "nurse â rn"}),
-    (T.split_list_cell, {"Cleaning, Sanitation": ["cleaning", "sanitation"], " , A,,b ": ["a", "b"], None: []}),
+    (T.normalize, {"Baker  (night shift)": "baker night shift", "C++ / C#": "c++ c#", "Vue.js!": "vue.js", "Koch â\x80\x93 Köchin": "koch â köchin"}),
+    (T.split_list_cell, {"Welding, Soldering ": ["welding", "soldering"], ",, X , ,y z": ["x", "y z"], None: []}),
     (T.clean_title, {
-        "Sr. Software Engineer II (Remote)": "software engineer", "LEAD SALES ASSOCIATE-PT": "sales associate", "Associate Product Manager, Senior": "product manager",
-        "Assistant Manager": "assistant manager", "senior lead engineer": "engineer", "senior lead": "lead", "Front-End Developer": "front end developer", "senior.": "senior.",
-        "Contract Manager": "contract manager", "Hiring Manager": "hiring manager", "Head of Marketing": "head of marketing", "F/T Nurse": "f t nurse", "Remote": "", "  ": "", None: "",
+        "Snr. Bridge Painter III [Hybrid]": "bridge painter", "DEPUTY BAKER-FT": "baker", "Assistant Bridge Painter, Trainee": "bridge painter",
+        "Associate Baker": "associate baker", "junior staff baker": "baker", "junior staff": "staff", "Well-Bred Horse Groom": "well bred horse groom", "deputy.": "deputy.",
+        "Temp Baker 2": "baker", "Permanent Waver": "permanent waver", "Head of Bakery": "head of bakery", "P / T Groom": "p t groom", "Seasonal": "", " \t": "", None: "",
     }),
-    (lambda c: F.transform(T.title_candidates(c), lambda x: x["text"]), {"Remote - Data Analyst": ["Remote - Data Analyst", "data analyst"], "Supervisor": [], "Stage Director": ["Stage Director"], None: []}),
+    (lambda c: F.transform(T.title_candidates(c), lambda x: x["text"]), {"Hybrid | Horse Groom": ["Hybrid | Horse Groom", "horse groom", "Hybrid"], "Planner": [], "Wedding Planner": ["Wedding Planner"], None: []}),
     (lambda c: F.transform(T.title_candidates(c), lambda x: x["key"]), {
-        "Sr. Software Engineer II (Remote)": ["sr. software engineer ii remote", "sr. software engineer ii", "software engineer ii remote", "software engineer ii", "software engineer"]}),
-    (T.prepare_text, {"registered nurse at beth israel lahey": "registered nurse", "electrical engineer 23 01066": "electrical engineer", "2024": "2024", None: ""}),
-    (T.split_variants, {"a\n b \n\n": ["a", "b"], None: []}),
+        "Jr. Horse Groom III (Seasonal)": ["jr. horse groom iii seasonal", "jr. horse groom iii", "horse groom iii seasonal", "horse groom iii", "horse groom"]}),
+    (T.prepare_text, {"pastry cook at the grand hotel": "pastry cook", "pastry cook # 7 00412": "pastry cook", "1888": "1888", None: ""}),
+    (T.split_variants, {"baker\n bread maker \n\n": ["baker", "bread maker"], None: []}),
 ]
 
 
@@ -48,7 +48,7 @@ def _py_normalize(s):
 
 def _py_prefix_loop(s):
     while True:
-        less = " ".join(re.sub(r"(?i)^\s*(?:senior|lead)\b[.\s]*", " ", s).split())
+        less = " ".join(re.sub(T.RANK_PREFIX, " ", s, flags=re.IGNORECASE).split())
         if not less or less == s:
             return s
         s = less
@@ -69,16 +69,14 @@ def test_against_python(spark):
     seen[:] = [s for s in seen if not any(unicodedata.category(c) == "Cn" for c in s)]
     assert apply(spark, T.normalize, seen) == [_py_normalize(s) for s in seen]
     assert apply(spark, T.strip, seen) == [s.strip() for s in seen]
-    paren = re.compile(r"[\(\[\{].*?[\)\]\}]")
+    paren, split = re.compile(T.PARENTHESES), re.compile(T.SPLITTERS)
     assert apply(spark, T.drop_parentheses, seen) == [paren.sub(" ", s) for s in seen]
-    split = re.compile(r"\s+-\s+|\s+\|\s+|\s+/\s+|\s+at\s+|\s*,\s*|\s+:\s+")
     assert apply(spark, T.title_segments, seen) == [sorted((y for x in split.split(paren.sub(" ", s)) if (y := x.strip())), key=len, reverse=True) for s in seen]
-    tail = re.compile(r"(?i)\s+(i{1,3}|iv|v|\d)$")
-    rank = re.compile(r"(?i)^(sr|snr|senior|jr|junior|lead|principal|staff|entry[ -]?level|assistant|associate|head of|deputy)\b[.\s]*")
-    assert apply(spark, T.peel, seen) == [tail.sub("", rank.sub("", s)).strip() for s in seen]
+    for pattern, case in ((T.SENIORITY_PREFIX, True), (T.LEVEL_SUFFIX, True), (T.JOB_TYPE_WORD, True), (T.RANK_PREFIX, True), (T.RANK_SUFFIX, True), (T.ROLE_PREFIX_WORD, True), (T.COMPANY_TAIL, True), (T.REQUISITION, False)):
+        own = re.compile(pattern, re.IGNORECASE if case else 0)
+        assert apply(spark, lambda c, p=T.pinned(pattern, case): F.regexp_replace(c, p, "<>"), seen) == [own.sub("<>", s) for s in seen], pattern
     simple = [_py_normalize(s) for s in seen]
-    pattern = rf"(?iu)\A[{T.SPACE}]*(?:senior|lead){T.AFTER}[.{T.SPACE}]*"
-    assert apply(spark, lambda c: T._strip_while(c, pattern, 1), simple) == [_py_prefix_loop(s) for s in simple]
+    assert apply(spark, lambda c: T._strip_while(c, T.pinned(T.RANK_PREFIX), 1), simple) == [_py_prefix_loop(s) for s in simple]
 
 
 def test_lists(spark):
