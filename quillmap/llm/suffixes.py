@@ -48,35 +48,37 @@ _CTX_BITS = 62
 # --- two-stage suffix sorting ------------------------------------------------------------------------------------
 
 
-def suffix_array(s: np.ndarray, depth: int) -> np.ndarray:
-    """All suffixes of s (small unsigned values) in the order of their first `depth` symbols; further ties in any order.
+def suffix_array(s: np.ndarray, depth: int, wanted: np.ndarray | None = None, small: np.ndarray | None = None) -> np.ndarray:
+    """The suffixes of s (small unsigned values) in the order of their first `depth` symbols; further ties in any order.
 
     Suffixes smaller than their successor are sorted directly; scanning the buckets from the smallest symbol on then
-    induces each larger one from its successor's place.
+    induces each larger one from its successor's place. wanted: which suffixes to sort; the successor of a larger one has to
+    be wanted too. small: smaller_than_next(s), where it is known.
     """
     n = len(s)
     if not n:
         return np.empty(0, np.int64)
-    s = s.astype(np.int64)
-    small = _smaller_than_next(s)
-    own = _sort_direct(s, np.flatnonzero(small), depth)
+    small = smaller_than_next(s) if small is None else small
+    larger = ~small if wanted is None else ~small & wanted
+    own = _sort_direct(s, np.flatnonzero(small if wanted is None else small & wanted), depth)
     symbols = int(s.max()) + 1
     own_of = np.split(own, np.searchsorted(s[own], np.arange(1, symbols)))
     waiting: list[list[np.ndarray]] = [[] for _ in range(symbols)]
-    waiting[s[n - 1]].append(np.array([n - 1]))  # the last suffix is larger than the empty one after it
+    if larger[n - 1]:
+        waiting[s[n - 1]].append(np.array([n - 1]))  # the last suffix is larger than the empty one after it
     out = []
     for c in range(symbols):
         level = np.concatenate(waiting[c]) if waiting[c] else np.empty(0, np.int64)
         while len(level):  # induced ones first, each run length of c after the shorter
             out.append(level)
-            level = _induce(s, small, level, c, waiting)
+            level = _induce(s, larger, level, c, waiting)
         if len(own_of[c]):
             out.append(own_of[c])
-            _induce(s, small, own_of[c], c, waiting)
-    return np.concatenate(out)
+            _induce(s, larger, own_of[c], c, waiting)
+    return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
-def _smaller_than_next(s: np.ndarray) -> np.ndarray:
+def smaller_than_next(s: np.ndarray) -> np.ndarray:
     """Whether each suffix is smaller than its successor; runs of one symbol go as the run's end goes."""
     n = len(s)
     less = np.zeros(n, bool)
@@ -89,20 +91,25 @@ def _smaller_than_next(s: np.ndarray) -> np.ndarray:
     return less[end]
 
 
+def _words(s: np.ndarray, depth: int) -> np.ndarray:
+    """The 7 symbols from each position on as one number (symbols below 512), the text's end being smallest."""
+    padded = np.concatenate([s.astype(np.int64) + 1, np.zeros(depth + 7, np.int64)])
+    words = padded[: len(padded) - 6] << 54
+    for j in range(1, 7):
+        words |= padded[j : j + len(words)] << (54 - 9 * j)
+    return words
+
+
 def _sort_direct(s: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
-    """Positions ordered by the next `depth` symbols (7 to a word, symbols below 512), the text's end being smallest."""
-    padded = np.concatenate([s + 1, np.zeros(depth + 7, np.int64)])
-    words = np.zeros(len(padded) - 6, np.int64)
-    for j in range(7):
-        words = (words << 9) | padded[j : j + len(words)]
-    keys = [words[at + j] for j in range(0, depth, 7)]
-    return at[np.lexsort(keys[::-1])]
+    """Positions ordered by the next `depth` symbols."""
+    words = _words(s, depth)
+    return at[np.lexsort([words[at + j] for j in range(0, depth, 7)][::-1])]
 
 
-def _induce(s: np.ndarray, small: np.ndarray, scanned: np.ndarray, c: int, waiting: list[list[np.ndarray]]) -> np.ndarray:
+def _induce(s: np.ndarray, larger: np.ndarray, scanned: np.ndarray, c: int, waiting: list[list[np.ndarray]]) -> np.ndarray:
     """Put the larger predecessors of what was scanned at their buckets' ends; those of this bucket are returned."""
     before = scanned[scanned > 0] - 1
-    before = before[~small[before]]
+    before = before[larger[before]]
     first = s[before]
     here = before[first == c]
     later, symbol = before[first != c], first[first != c]
@@ -119,22 +126,34 @@ def common_prefixes(s: np.ndarray, order: np.ndarray, depth: int) -> np.ndarray:
     """For each suffix in order, the length of the prefix it shares with the one before it, up to depth."""
     out = np.zeros(len(order), np.int64)
     a, b = order[:-1], order[1:]
-    padded = np.concatenate([s.astype(np.int64), -1 - np.arange(depth + 1)])
+    words = _words(s, depth + 7)
     live = np.arange(len(a))
-    for j in range(depth):
-        live = live[(padded[a[live] + j] == padded[b[live] + j]) & (np.maximum(a[live], b[live]) + j < len(s))]
+    for j in range(0, depth, 7):
+        apart = words[a[live] + j] ^ words[b[live] + j]
+        alike = sum((apart >> (63 - 9 * k) == 0).astype(np.int64) for k in range(1, 8))  # whole symbols before the first that differs
+        out[live + 1] = np.minimum(depth, j + alike)
+        live = live[alike == 7]
         if not len(live):
             break
-        out[live + 1] += 1
     return out
 
 
 def repeated_windows(contexts: list[bytes], first: np.ndarray, window: int = WINDOW) -> list[np.ndarray]:
-    """For each context, the smallest `first` among all contexts that hold each of its windows, by one suffix array."""
+    """For each context, the smallest `first` among all contexts that hold each of its windows, by one suffix array.
+
+    Only suffixes that a window starts at are sorted, and those that they are induced from: up to the next one that is
+    smaller than its successor, which a context's last byte always is.
+    """
     lengths = np.array([len(c) for c in contexts], np.int64)
     s = np.frombuffer(b"\xff".join(contexts) + b"\xff", np.uint8)  # a byte that no UTF-8 has keeps contexts apart
     start = np.concatenate([[0], np.cumsum(lengths + 1)[:-1]])
-    order = suffix_array(s, window)
+    small = smaller_than_next(s)
+    long = np.flatnonzero(lengths >= window)
+    following = np.minimum.accumulate(np.where(small, np.arange(len(s)), len(s))[::-1])[::-1]
+    change = np.zeros(len(s) + 1, np.int8)
+    change[start[long]] = 1
+    change[following[start[long] + lengths[long] - window] + 1] -= 1
+    order = suffix_array(s, window, np.cumsum(change[:-1]) > 0, small)
     owner = np.searchsorted(start, order, side="right") - 1
     whole = order + window <= start[owner] + lengths[owner]
     order, owner = order[whole], owner[whole]
