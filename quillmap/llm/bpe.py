@@ -20,8 +20,8 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ._common import bounded_batches, map_arrow, read_table
 
-#: Words remembered by a worker at most; beyond, the memory is cleared.
-CACHE = 350_000
+#: Words, and characters of them, that a worker remembers at most; beyond, the memory is cleared.
+CACHE, CACHE_CHARS = 350_000, 8 << 20
 #: Two ids make one key; what no pair of symbols has as its rank.
 SPAN, NONE = 1 << 24, 1 << 40
 #: Symbols of a fragment from which it is encoded alone.
@@ -104,6 +104,7 @@ class BPE:
         self.packed_special = {t: np.uint32(i).tobytes() for t, i in self.special.items()}
         self.chunks: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.held: dict[int, int] = {}  # characters of the words in each
         self.known: set[str] = set()
         self.path, self.library = path, None
 
@@ -235,13 +236,21 @@ class BPE:
         for cache in (self.chunks, self.words):
             new = set().union(*(p for _, c, p in parts if c is cache))
             new.difference_update(cache)
-            if len(cache) + len(new) > CACHE:
+            size = sum(map(len, new))
+            if len(cache) + len(new) > CACHE or self.held.get(id(cache), 0) + size > CACHE_CHARS:
                 cache.clear()
+                self.held[id(cache)] = 0
                 new = set().union(*(p for _, c, p in parts if c is cache))
+                size = sum(map(len, new))
+            self.held[id(cache)] = self.held.get(id(cache), 0) + size
             self._learn(cache, list(new))
         out = [b""] * len(texts)
         for k, cache, p in parts:
             out[k] += b"".join(map(cache.__getitem__, p))
+        for cache in (self.chunks, self.words):
+            if self.held.get(id(cache), 0) > CACHE_CHARS:  # one batch of very long words
+                cache.clear()
+                self.held[id(cache)] = 0
         return out
 
     def _learn(self, cache: dict[str, bytes], new: list[str]) -> None:
@@ -268,7 +277,8 @@ def load(path: str) -> BPE:
 def encode(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, ids (binary: little-endian unsigned 32-bit), n_tokens, for every row; a null text has no ids.
 
-    Rows with equal or null ids each get their own result. Other columns are left out. One pass, no shuffle.
+    Rows with equal or null ids each get their own result. A very long text is encoded whole, in memory that grows with it;
+    what a worker remembers doesn't. Other columns are left out, whatever their names. No rows: no rows. One pass, no shuffle.
     """
     bounded_batches(docs.sparkSession)
     kind = dict(docs.dtypes)[id_col]
@@ -315,5 +325,5 @@ def op1_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The last stage: what a trainer reads."""
+    """The last stage, what a trainer reads: doc_id, n_tokens, ids for every row, as encode() has them, also for null and empty texts."""
     return encode(docs, default_path()).select("doc_id", "n_tokens", "ids")
