@@ -149,24 +149,24 @@ def top_k(queries: DataFrame, labels: DataFrame, k: int, vec: str = "embedding",
     """
     spark = queries.sparkSession
     ids = [c for c in queries.columns if c != vec]
-    labels = labels.where(F.col(vec).isNotNull()).select("label_idx", F.col(vec).cast("array<double>").alias("v"))
-    count, dim = labels.agg(F.count("*"), F.max(F.size("v"))).first()
+    held = labels.where(F.col(vec).isNotNull()).select("label_idx", F.col(vec).cast("array<double>").alias("v"))
+    one = held.select(F.size("v")).first()  # all have one length; counting the labels needs no vectors
+    blocks = -(-labels.count() * 8 * max(1, one[0]) // pass_bytes) if one else 0
     schema = ", ".join([*(f"`{n}` {t}" for n, t in queries.dtypes if n != vec), "label_idx int, score double"])
-    blocks = -(-count * 8 * max(1, dim or 1) // pass_bytes)
     if blocks <= 1:
-        part = labels.orderBy("label_idx").toArrow()  # at most pass_bytes
+        part = held.orderBy("label_idx").toArrow()  # at most pass_bytes
         flat = part.column("v").combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        held = spark.sparkContext.broadcast((part.column("label_idx").to_numpy(), flat.reshape(count, -1) if count else flat.reshape(0, 0)))
+        sent = spark.sparkContext.broadcast((part.column("label_idx").to_numpy(), flat.reshape(part.num_rows, -1) if part.num_rows else flat.reshape(0, 0)))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for rows in batches:
-                yield from _ranked(rows, ids, vec, *held.value, k)
+                yield from _ranked(rows, ids, vec, *sent.value, k)
 
         found = queries.mapInPandas(run, schema)
     else:
         parts = max(1, queries.count() // PART_ROWS)
         asked = queries.withColumn("_part", F.pmod(F.xxhash64(*ids), F.lit(parts)).cast("int")).withColumn("_block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-        held = labels.withColumn("_block", F.pmod(F.xxhash64("label_idx"), F.lit(blocks)).cast("int")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+        held = held.withColumn("_block", F.pmod(F.xxhash64("label_idx"), F.lit(blocks)).cast("int")).withColumn("_part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
 
         def meet(rows: pd.DataFrame, own: pd.DataFrame) -> pd.DataFrame:
             own = own.sort_values("label_idx")

@@ -201,6 +201,34 @@ def test_stores(spark, tmp_path):
     assert saved["corpus"].count() == 5 and "titles" not in saved and config == {"a": 1}
 
 
+def test_run_from_files(spark, tmp_path, capsys, monkeypatch):
+    """CSV files in, cache, saved run and export out; a second run reads the cache."""
+    data, cache = tmp_path / "data", tmp_path / "cache"
+    data.mkdir()
+    (data / tables.POSTINGS).write_text("job_link,job_title\nu1,Senior Nurse\nu2,\nu3,data analyst (Remote)\nu3,zzz\n", encoding="latin-1")
+    (data / tables.SKILLS).write_text('job_link,job_skills\nu1,"Nurse, zzz"\nu3,"bi analyst,, Nurse"\nu9,none\n', encoding="latin-1")
+    head = "conceptUri,preferredLabel,altLabels,hiddenLabels,description,"
+    (data / tables.OCCUPATIONS_FILE).write_text(head + 'code,iscoGroup\nA,data analyst,"bi analyst\nanalyst of data",,counts,1,2511\nB,nurse,,,heals,2,2221\n')
+    (data / tables.SKILLS_FILE).write_text(head + "skillType,reuseLevel\nS,nurse,,,care,skill,wide\nT,bi analyst,,,,skill,wide\n")
+    (data / tables.GROUPS_FILE).write_text("code,preferredLabel\n22,health\n2221,nurses\n25,ICT\n2511,analysts\n")
+    monkeypatch.setenv("PREP_DATA_DIR", str(data))
+    monkeypatch.setenv("PREP_CACHE_DIR", str(cache))
+    config = Config(sample_size=None)
+    assert config.data("x") == str(data / "x") and config.cached("run") == str(cache / "run_all") and Config(sample_size=7).tag() == "7"
+    pipeline.run(spark, config, vectors.TrigramEncoder(), vectors.TokenOverlap())
+    out = sorted(pipeline.export_run(spark, config).collect(), key=lambda r: r.job_link)
+    assert [(r.job_link, r.esco_occupation, r.isco_group_label, r.isco_submajor_label, r.esco_skills, r.skills_unmatched) for r in out] == [
+        ("u1", "nurse", "nurses", "health", "nurse | ", "zzz"), ("u3", "data analyst", "analysts", "ICT", "bi analyst | nurse", ""),
+    ]
+    (data / tables.POSTINGS).write_text("job_link,job_title\n")
+    again = pipeline.run(spark, config, vectors.TrigramEncoder(), vectors.TokenOverlap())
+    assert again.corpus.count() == 3 and stores.load_run(spark, config.cached("run"), ["corpus"])[1]["sample_size"] is None
+    reports.show("SUMMARY", reports.run_summary(again.corpus))
+    assert "SUMMARY\n====" in capsys.readouterr().out
+    counts = {r.kind: (r.concepts, r.labels) for r in tables.taxonomy_counts(tables.load_taxonomies(spark, config.data(tables.OCCUPATIONS_FILE), config.data(tables.SKILLS_FILE))).collect()}
+    assert counts == {"occupations": (2, 4), "skills": (2, 2)}
+
+
 def test_stream(spark, tmp_path):
     from quillmap.streaming import match_stream
 
