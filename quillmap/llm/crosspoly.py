@@ -16,9 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ._common import bounded_batches, components, mix64, read_table, written
+from ._common import bounded_batches, components, drop_written, mix64, read_table, written
 from .nearset import _grouped
-from .vectors import matrix, unpack, usable
+from .vectors import matrix, usable
 
 TABLES, HASHES, PROBES = 10, 2, 3
 #: Vectors of a bucket that one task compares with as many.
@@ -42,7 +42,7 @@ def signs(dim: int, seed: int) -> np.ndarray:
 
 
 def codes(unit: np.ndarray) -> np.ndarray:
-    """(n, TABLES, PROBES) bucket numbers of unit vectors, likeliest first."""
+    """(n, TABLES, PROBES) bucket numbers of unit vectors, below 2^31, likeliest first."""
     n, d = unit.shape
     size = 1 << max(1, (d - 1).bit_length())
     x = np.zeros((n, size))
@@ -73,11 +73,20 @@ def codes(unit: np.ndarray) -> np.ndarray:
             for j in range(HASHES):
                 code = code * (2 * size) + np.where(pick[:, j] == 1, second[j], first[j])
             out[:, t, p] = code
+    if size > 1 << 14:  # codes of more than 31 bits: two that share what is kept share a bucket, and are verified as all are
+        out = (mix64(out) >> np.uint64(33)).astype(np.int64)
     return out
 
 
-def _hashed(classes: DataFrame) -> DataFrame:
-    """(cid, lab, mult, vec, codes): vec as unit float64 bytes, codes as int64 bytes, for classes of one length a batch."""
+def _units(m: np.ndarray) -> np.ndarray:
+    """Rows of unit length, in double precision."""
+    m = m.astype(np.float64)
+    m /= np.abs(m).max(1, keepdims=True)
+    return m / np.sqrt((m * m).sum(1))[:, None]
+
+
+def _hashed(classes: DataFrame, kind: str) -> DataFrame:
+    """(cid, lab, mult, vec, codes): vec as it is, in bytes of kind (`<f4` or `<f8`), codes as int32 bytes, for classes of one length a batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -85,11 +94,9 @@ def _hashed(classes: DataFrame) -> DataFrame:
             for d in np.unique(lengths):
                 part = b.filter(pa.array(lengths == d))
                 m = matrix(part.column(3))
-                m = m / np.abs(m).max(1, keepdims=True)
-                unit = m / np.sqrt((m * m).sum(1))[:, None]
-                c = codes(unit)
+                c = codes(_units(m)).astype(np.int32)
                 lab = mix64(part.column(1).to_numpy().view(np.uint64) + np.uint64(d)).view(np.int64)
-                yield pa.record_batch([part.column(0), pa.array(lab), part.column(2), pa.array([x.tobytes() for x in unit], pa.binary()), pa.array([x.tobytes() for x in c], pa.binary())], ["cid", "lab", "mult", "vec", "codes"])
+                yield pa.record_batch([part.column(0), pa.array(lab), part.column(2), pa.array([x.tobytes() for x in m.astype(kind)], pa.binary()), pa.array([x.tobytes() for x in c], pa.binary())], ["cid", "lab", "mult", "vec", "codes"])
 
     return classes.mapInArrow(run, "cid binary, lab long, mult long, vec binary, codes binary")
 
@@ -100,7 +107,7 @@ def _keys(hashed: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             if b.num_rows:
-                key = _bucket_keys(b.column(1).to_numpy(), np.frombuffer(b"".join(b.column(2).to_pylist()), np.int64).reshape(b.num_rows, TABLES, PROBES))
+                key = _bucket_keys(b.column(1).to_numpy(), np.frombuffer(b"".join(b.column(2).to_pylist()), np.int32).astype(np.int64).reshape(b.num_rows, TABLES, PROBES))
                 yield pa.record_batch([pa.array(key.reshape(-1)), b.column(0).take(pa.array(np.repeat(np.arange(b.num_rows), TABLES * PROBES)))], ["key", "cid"])
 
     return hashed.select("cid", "lab", "codes").mapInArrow(run, "key long, cid binary")
@@ -126,7 +133,9 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
     rows = _with_class(named).where("cid is not null")
     classes = rows.groupBy("cid", "_label").agg(F.min("_id").alias("low"), F.count("*").alias("mult"), F.any_value("vec").alias("vec"))
     classes = written(classes.select("cid", F.xxhash64("_label").alias("lab"), "mult", "vec", "low"), "vec-classes")
-    hashed = written(_hashed(classes.select("cid", "lab", "mult", "vec")), "vec-codes")
+    # What every bucket gets of a vector: in single precision where the table has no more, so that nothing is lost.
+    kind = "<f4" if dict(vectors.dtypes)[vec_col] == "array<float>" else "<f8"
+    hashed = written(_hashed(classes.select("cid", "lab", "mult", "vec"), kind), "vec-codes")
     keys = _keys(hashed)
     met = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
     rows_ = keys.join(met, "key").withColumn("blk", F.pmod(F.xxhash64("cid"), F.col("blocks")).cast("int"))
@@ -137,8 +146,8 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
     def compare(_: int, cols: list[list]) -> list[tuple[bytes, bytes, int]]:
         blk, lab, mult = (np.array(cols[i]) for i in (2, 4, 5))
         here = cols[1][0]
-        cid, vec = cols[3], unpack(cols[6])
-        code = np.frombuffer(b"".join(cols[7]), np.int64).reshape(len(cid), TABLES, PROBES)
+        cid, vec = cols[3], _units(np.frombuffer(b"".join(cols[6]), kind).reshape(len(cols[6]), -1))
+        code = np.frombuffer(b"".join(cols[7]), np.int32).astype(np.int64).reshape(len(cid), TABLES, PROBES)
         n = len(cid)
         links, root = np.zeros(n, np.int64), np.arange(n)
         two = not cols[8][0]
@@ -171,13 +180,14 @@ def linked(vectors: DataFrame, least: float = 0.98, id_col: str = "vec_id", labe
 
     found = written(_grouped(full, "grp", "a binary, b binary, m long", compare), "vec-links")
     total = found.groupBy(F.col("a").alias("cid")).agg(F.sum("m").alias("m"))
-    comp = components(found.select("a", "b"))
-    comp = comp.union(comp.select(F.col("component").alias("node"), "component").distinct())
+    settled = components(found.select("a", "b"))
+    comp = settled.union(settled.select(F.col("component").alias("node"), "component").distinct())
     low = comp.join(classes.select(F.col("cid").alias("node"), "low"), "node").withColumnRenamed("node", "cid")
     least_of = low.groupBy("component").agg(F.min("low").alias("best"))
     heads = low.join(least_of, "component").select("cid", "best")
     per = classes.select("cid", "mult", "low").join(total, "cid", "left").join(heads, "cid", "left")
     per = written(per.select(F.col("cid").alias("_c"), (F.coalesce("m", F.lit(0)) + F.col("mult") - 1).alias("n_links"), F.coalesce("best", "low").alias("component_id")), "vec-heads")
+    drop_written(spark, classes, hashed, found, settled)
     # Unusable vectors stand beside: they have no class.
     out = _with_class(named).join(per, F.col("cid") == F.col("_c"), "left")
     return out.select(F.col("_id").alias(id_col), F.coalesce("n_links", F.lit(0)).alias("n_links"), F.when(F.col("_c").isNull(), F.col("_id")).otherwise(F.col("component_id")).alias("component_id")).withColumn("kept", F.coalesce(F.expr(f"`{id_col}` = component_id"), F.lit(False)))
