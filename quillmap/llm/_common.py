@@ -9,11 +9,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Bytes an Arrow batch holds, about; whole texts are batched, so this bounds a worker's memory whatever their length.
-BATCH_BYTES = 2 << 20
+BATCH_BYTES = 1 << 20
 _BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
@@ -123,28 +124,66 @@ def _with_least(rows: DataFrame, size: int) -> DataFrame:
     return marked.where("h is not null").select("u", "v", F.col("hm").alias("m")).unionByName(others.select("u", "v", "m"))
 
 
+def _forest(edges: DataFrame) -> DataFrame:
+    """(u, v): instead of a task's edges (u, v) one from each node to the least that the task's edges connect it with."""
+    kinds = dict(edges.dtypes)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [b for b in batches if b.num_rows]
+        if not held:
+            return
+        both = [pa.concat_arrays([b.column(j) for b in held]) for j in (0, 1)]
+        nodes = pa.chunked_array(both).unique()
+        nodes = nodes.take(pc.sort_indices(nodes))
+        a, b = (pc.index_in(x, nodes).to_numpy().astype(np.int64) for x in both)
+        low = np.arange(len(nodes))
+        while True:
+            before = low.copy()
+            np.minimum.at(low, a, low[b])
+            np.minimum.at(low, b, low[a])
+            low = low[low]
+            if (low == before).all():
+                break
+        at = np.flatnonzero(low != np.arange(len(low)))
+        for lo in range(0, len(at), 50_000):
+            i = at[lo : lo + 50_000]
+            yield pa.record_batch([nodes.take(pa.array(i)), nodes.take(pa.array(low[i]))], ["u", "v"])
+
+    return edges.mapInArrow(run, f"u {kinds['u']}, v {kinds['v']}")
+
+
+#: Edges that one task joins at once.
+TASK_EDGES = 1 << 19
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -> DataFrame:
     """(node, component): the smallest node reachable over the edges, for nodes with an edge to another.
 
-    Alternates large-star and small-star steps; each is an aggregate (with map-side combining) and a join that no hub
-    passes through, whatever its degree. Every round is written to the shared folder; those before are removed.
+    In every round each task first joins what its own edges connect, of which it has TASK_EDGES about. Then a large-star and
+    a small-star step follow, until every node points at one that points at none: each an aggregate (with map-side
+    combining) and a join that no hub passes through, whatever its degree. Rounds are written to the shared folder; those
+    before are removed.
     """
-    now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct(), "edges")
-    digest = _digest(now)
+    now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v"), "edges")
     for _ in range(rounds):
+        tasks = -(-now.count() // TASK_EDGES)
+        before, now = now, written(_forest(now.coalesce(max(1, tasks))), "edges")
+        drop_written(now.sparkSession, before)
+        size, settled = (0, True) if tasks <= 1 else _state(now)
+        if settled:
+            return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = _with_least(both, 2 * digest[0]).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
-        small = _with_least(large, digest[0])
-        nxt = written(small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct(), "edges")
-        before, digest = digest, _digest(nxt)
-        drop_written(now.sparkSession, now)
-        now = nxt
-        if digest == before:
-            break
-    else:
-        raise RuntimeError("components did not settle")
-    return now.select(F.col("u").alias("node"), F.col("v").alias("component"))
-
-
-def _digest(edges: DataFrame) -> tuple:
-    return tuple(edges.select(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        large = _with_least(both, 2 * size).where("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = _with_least(large, size)
+        nxt = small.select("u", F.col("m").alias("v")).union(small.where("v > m").select(F.col("v").alias("u"), F.col("m").alias("v"))).distinct()
+        before, now = now, written(nxt, "edges")
+        drop_written(now.sparkSession, before)
+    raise RuntimeError("components did not settle")
+
+
+def _state(edges: DataFrame) -> tuple[int, bool]:
+    """How many edges there are, and whether every u has one v, which is no u itself."""
+    ends = edges.select("u", F.lit(1).alias("out")).union(edges.select("v", F.lit(0)))
+    per = ends.groupBy("u").agg(F.sum("out").alias("out"), F.count("*").alias("n"))
+    size, bad = per.agg(F.coalesce(F.sum("out"), F.lit(0)), F.count_if(F.expr("out > 1 or out = 1 and n > 1"))).first()
+    return size, bad == 0

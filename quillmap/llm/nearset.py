@@ -262,16 +262,19 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     lead = F.struct(F.col("_id").isNull().alias("none"), "_id", "_rk")
     classes = written(all_rows.where("cls is not null").groupBy("cls").agg(F.min(lead).alias("first"), F.min("n").alias("n"), F.min("mh").alias("mh")), "classes")
     rough = rough_links(classes, num / den)
-    if rough.isEmpty():
-        links = None
-    else:
-        links = _links(docs, classes, components(rough), k, num, den, id_col, text_col)
+    links = None
+    if not rough.isEmpty():
+        clusters = components(rough)
+        links = _links(docs, classes, clusters, k, num, den, id_col, text_col)
+        drop_written(spark, clusters)
+    drop_written(spark, rough)
     heads = classes.select("cls", "first")
     if links is not None:
         named = links.join(heads, "cls")
         low = named.groupBy("root").agg(F.min("first").alias("low"))
         heads = heads.join(named.select("cls", "root").join(low, "root").select("cls", "low"), "cls", "left").select("cls", F.coalesce("low", "first").alias("first"))
         heads = written(heads, "heads")
+        drop_written(spark, classes, links)
     out = all_rows.select("_id", "_rk", "n", "cls").join(heads, "cls", "left")
     return out.select(F.col("_id").alias(id_col), "_rk", F.col("n").alias("n_shingles"), F.coalesce("first", lead).alias("lead"))
 
@@ -289,9 +292,12 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, k: int, num
     placed = placed.select("cls", "cluster", "chunks", "chunk", F.col("first._id").alias("_id"), F.col("first._rk").alias("_rk"), "n")
     full = texts.join(placed, F.expr("_i <=> _id and _r = _rk")).select("cls", "cluster", "chunks", "chunk", "text")
     big = size.where("chunks > 1").select("cluster", "chunks")
+    spark = docs.sparkSession
     if big.isEmpty():
         edges = written(_confirm(full.select(F.xxhash64("cluster").alias("grp"), F.lit(1).alias("role"), "cls", "text"), num, den, k), "links")
-        return _rooted(edges)
+        roots = _rooted(edges)
+        drop_written(spark, member, edges)
+        return roots
     full = written(full, "members-text")
     inner = _confirm(full.where("chunks = 1").select(F.xxhash64("cluster").alias("grp"), F.lit(1).alias("role"), "cls", "text"), num, den, k)
     # The most central member: its sketch agrees most with the values most common in its cluster.
@@ -311,6 +317,7 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, k: int, num
     linked = roots.join(main, "root", "left_semi").select("cls")
     rest = written(part.join(linked, "cls", "left_anti"), "rest")
     if rest.isEmpty():
+        drop_written(spark, member, full, star, rest)
         return roots
     parts = rest.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / TASK_DOCS), F.ceil(F.sum(F.length("text")) / (8 * TASK_SHINGLES))).cast("int").alias("parts"))
     rest = rest.join(parts, "cluster").withColumn("piece", F.pmod(F.xxhash64("cls", F.lit(7)), F.col("parts")).cast("int"))
@@ -318,12 +325,18 @@ def _links(docs: DataFrame, classes: DataFrame, clusters: DataFrame, k: int, num
     urgent = rest.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)))
     key = F.xxhash64("cluster", "chunk", "piece").alias("grp")
     second = _confirm(every.select(key, F.lit(0).alias("role"), "cls", "text").union(urgent.select(key, F.lit(1).alias("role"), "cls", "text")), num, den, k)
-    return _rooted(written(star.union(second), "links"))
+    edges = written(star.union(second), "links")
+    drop_written(spark, member, full, star, rest, roots)
+    roots = _rooted(edges)
+    drop_written(spark, edges)
+    return roots
 
 
 def _rooted(edges: DataFrame) -> DataFrame:
     c = components(edges)
-    return written(c.select(F.col("node").alias("cls"), F.col("component").alias("root")).union(c.select(F.col("component").alias("cls"), F.col("component").alias("root")).distinct()), "roots")
+    roots = written(c.select(F.col("node").alias("cls"), F.col("component").alias("root")).union(c.select(F.col("component").alias("cls"), F.col("component").alias("root")).distinct()), "roots")
+    drop_written(edges.sparkSession, c)
+    return roots
 
 
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -53,7 +53,7 @@ def word_hashes(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return word_spans(raw, offsets)[:2]
 
 
-def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int, chunk: int = 4 << 20) -> list[np.ndarray]:
+def shingle_sets(raw: np.ndarray, offsets: np.ndarray, k: int, chunk: int = 1 << 20) -> list[np.ndarray]:
     """The sorted distinct hashes of each text's k-word shingles; of fewer words, of the whole sequence; of none, nothing."""
     out: list[np.ndarray] = []
     n, lo = len(offsets) - 1, 0
