@@ -145,8 +145,8 @@ class Model:
 
     @staticmethod
     def rejects(loss: np.ndarray) -> np.ndarray:
-        """Texts whose bits speak against every codeword: they lose more than bits that say nothing."""
-        return loss.min(1) > np.log(2) + 1e-9
+        """Texts whose bits speak against every codeword: they lose more than twice what bits that say nothing lose."""
+        return loss.min(1) > 2 * np.log(2)
 
 
 def fit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Model | None:
@@ -231,8 +231,8 @@ def op6_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pipeline_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in a language: those without any letter go, and those that the decoding rejects.
 
-    The decoding rejects a text whose bits stand nearer to no codeword than to their opposite (see Model.rejects): one that
-    is like no language learned. An ambiguous text is a text: it stays. With nothing learned every text with a letter stays.
+    The decoding rejects a text whose bits speak clearly against every codeword (see Model.rejects): one that is like no
+    language learned. An ambiguous text is a text: it stays. With nothing learned every text with a letter stays.
     Null and empty texts go. Other columns stay, whatever their names. No rows: no rows.
     """
     model = fit(docs.where(~held_out()))

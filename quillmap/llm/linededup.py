@@ -142,8 +142,8 @@ class CuckooFilter:
 def _lines(rows: DataFrame, distinct: bool = False, heavy: object = None, shards: int = 1) -> DataFrame:
     """(shard, _id, _rk, pos, k1, k2) of the lines of (_id, _rk, _text) with a key of one code point or more.
 
-    distinct: one row for each key of a document. heavy: a broadcast of the keys that are known to go; their lines have a
-    shard of their own below 0, dealt out by document.
+    distinct: one row for each key of a document. heavy: a broadcast of the keys that are known to go; their lines are dealt
+    out evenly to shards of their own, below 0.
     """
     kind = dict(rows.dtypes)["_id"]
 
@@ -164,9 +164,8 @@ def _lines(rows: DataFrame, distinct: bool = False, heavy: object = None, shards
                 continue
             k = np.frombuffer(b"".join(keys), "<i8").reshape(-1, 2)
             doc, pos = np.array(doc), np.array(pos, np.int32)
-            own = b.column(1).to_numpy()[doc]
-            shard = np.where(gone, -1 - (own.view(np.uint64) >> np.uint64(40)).astype(np.int64) % (4 * shards), _shard_of(k[:, 0], shards)).astype(np.int32)
-            yield pa.record_batch([pa.array(shard), b.column(0).take(pa.array(doc)), pa.array(own), pa.array(pos), pa.array(np.ascontiguousarray(k[:, 0])), pa.array(np.ascontiguousarray(k[:, 1]))], ["shard", "_id", "_rk", "pos", "k1", "k2"])
+            shard = np.where(gone, -1 - np.arange(len(doc)) % (4 * shards), _shard_of(k[:, 0], shards)).astype(np.int32)
+            yield pa.record_batch([pa.array(shard), b.column(0).take(pa.array(doc)), b.column(1).take(pa.array(doc)), pa.array(pos), pa.array(np.ascontiguousarray(k[:, 0])), pa.array(np.ascontiguousarray(k[:, 1]))], ["shard", "_id", "_rk", "pos", "k1", "k2"])
 
     return rows.mapInArrow(run, f"shard int, _id {kind}, _rk long, pos int, k1 long, k2 long")
 

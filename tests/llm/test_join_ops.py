@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from quillmap.llm import crosspoly, gru, kmtree, lmscore, nearset, suffixes
+from quillmap.llm import _common, crosspoly, gru, kmtree, lmscore, nearset, suffixes
 
 SF = "/root/testdata/sf0.01"
 
@@ -63,6 +63,34 @@ def test_near_duplicates(spark, docs, monkeypatch, small):
     assert nearset.near_duplicates(docs([])).count() == 0
 
 
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_components(spark, monkeypatch, tasks):
+    """Chains, hubs and cliques, in one task and in rounds with hubs kept out of the joins; repeated and looped edges."""
+    rng = random.Random(3)
+    pairs = [(i, i + 1) for i in range(0, 300)] + [(1000, 1001 + i) for i in range(900)] + [(5000 + i, 4999) for i in range(500)] + [(rng.randrange(6000, 6400), rng.randrange(6000, 6400)) for _ in range(300)]
+    pairs += pairs[::7] + [(9, 9), (299, 5100)]
+    rng.shuffle(pairs)
+    if tasks > 1:
+        monkeypatch.setattr(_common, "TASK_EDGES", len(pairs) // tasks)
+        monkeypatch.setattr(_common, "HUBS", 8)
+    root = {}
+
+    def find(i):
+        while root.setdefault(i, i) != i:
+            i = root[i]
+        return i
+
+    for a, b in pairs:
+        x, y = find(a), find(b)
+        root[max(x, y)] = min(x, y)
+    want = sorted((i, find(i)) for i in root if find(i) != i)
+    edges = spark.createDataFrame(pairs, "a long, b long").repartition(12)
+    assert sorted(tuple(r) for r in _common.components(edges).collect()) == want
+    blobs = spark.createDataFrame([(b"%05d" % a, b"%05d" % b) for a, b in pairs], "a binary, b binary").repartition(12)
+    assert sorted((int(r.node), int(r.component)) for r in _common.components(blobs).collect()) == want
+    assert _common.components(edges.limit(0)).count() == 0
+
+
 @pytest.mark.parametrize("num", [80, 85, 95])
 def test_trees_reach_the_target(num):
     trees, s = nearset.trees_for(num / 100), num / 100
@@ -290,8 +318,8 @@ def test_model_learns_from_all_text(spark, docs, monkeypatch):
     assert lexicon.words == 41 and lexicon.n > 8 * 40 * 40  # listed words grow beyond LISTED: isqrt(n) of them here
     out = lmscore.score(frame, counts, lexicon, model).agg({"score": "sum", "n_tokens": "sum"}).first()
     assert out["sum(score)"] / out["sum(n_tokens)"] > -1.2  # a uniform guess among 40 words is -1.6
-    ids = spark.createDataFrame([(i % 2, np.arange(n, dtype=np.int32).tobytes()) for i, n in enumerate((0, 1, 5, 40, 3))], "round int, ids binary").repartition(3)
-    seen = lmscore.train(ids, gru.GRU(np.ones(40), np.ones(16)), 54)
+    ids = spark.createDataFrame([(i % 2, np.arange(n, dtype=np.int32).tobytes()) for i, n in enumerate((0, 1, 5, 40, 3))], "round int, codes binary").repartition(3)
+    seen = lmscore.train(ids, gru.GRU(np.ones(40), np.ones(16)), np.arange(60, dtype=np.int32), 54)
     assert sum(seen) == 54 and seen[:2] == [1 + 6 + 4, 2 + 41]  # each token, ends included, once
 
 
