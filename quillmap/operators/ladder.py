@@ -24,23 +24,26 @@ def verdict(score: Column, margin: Column, ladder: Ladder) -> Column:
 def score_texts(texts: DataFrame, index: DataFrame, embed: Embed, scorer: vectors.PairScorer | Column | None, ladder: Ladder) -> DataFrame:
     """One row for each distinct text: best guess, score, margin, pair result, and the ladder's method, label and score.
 
-    The k best labels are found once; the pair scorer sees only texts that no vector rung took, filtered out before it.
+    The k best labels are found once and kept as one row for each text; the pair scorer sees only texts that no vector rung
+    took, filtered out before it.
     """
     encoded = embed(texts.select("text"))
     k = max(2, ladder.pair_top_k)
     ranked = vectors.top_k(encoded.select("text", "embedding"), index.select("label_idx", "embedding"), k)
+    top = ranked.groupBy("text").agg(F.array_sort(F.collect_list(F.struct("rank", "label_idx", "score"))).alias("_top"))
     names = index.select("label_idx", "label", "uri", "canonical")
-    best = vectors.best_with_margin(ranked).join(names, "label_idx")
-    best = best.select("text", F.col("canonical").alias("guess"), F.col("uri").alias("guess_uri"), F.col("label").alias("guess_label"), "score", "margin", verdict(F.col("score"), F.col("margin"), ladder).alias("method"))
+    first, second = F.col("_top")[0], F.get("_top", F.lit(1))
+    best = top.select("text", "_top", first["label_idx"].alias("label_idx"), first["score"].alias("score"), (first["score"] - second["score"]).alias("margin")).join(names, "label_idx")
+    best = best.select("text", "_top", F.col("canonical").alias("guess"), F.col("uri").alias("guess_uri"), F.col("label").alias("guess_label"), "score", "margin", verdict(F.col("score"), F.col("margin"), ladder).alias("method"))
     if not (ladder.use_pair_scorer and scorer is not None):
         nothing = {c: F.lit(None).cast(t) for c, t in (("ce_canonical", "string"), ("ce_uri", "string"), ("ce_label", "string"), ("ce_score", "double"))}
-        out = best.withColumns(nothing)
+        out = best.drop("_top").withColumns(nothing)
     else:
-        todo = best.where("method is null").select("text")
-        pairs = ranked.where(F.col("rank") <= ladder.pair_top_k).join(todo, "text", "left_semi").join(names.select("label_idx", "label"), "label_idx")
-        top = vectors.best_pair(vectors.score_pairs(pairs, scorer)).join(names, "label_idx")
-        top = top.select("text", F.col("canonical").alias("ce_canonical"), F.col("uri").alias("ce_uri"), F.col("label").alias("ce_label"), "ce_score")
-        out = best.join(top, "text", "left")
+        todo = best.where("method is null").select("text", F.inline("_top")).where(F.col("rank") <= ladder.pair_top_k)
+        pairs = todo.join(names.select("label_idx", "label"), "label_idx")
+        found = vectors.best_pair(vectors.score_pairs(pairs, scorer)).join(names, "label_idx")
+        found = found.select("text", F.col("canonical").alias("ce_canonical"), F.col("uri").alias("ce_uri"), F.col("label").alias("ce_label"), "ce_score")
+        out = best.drop("_top").join(found, "text", "left")
     ce = F.col("ce_score") >= ladder.pair_score
     pick = lambda a, b: F.when(F.col("method").isNotNull(), F.col(a)).when(ce, F.col(b))
     return out.withColumns({
