@@ -79,15 +79,18 @@ class GRU:
         per = np.add.reduceat(f, first)
         mass = np.concatenate([per, np.asarray(rest, float) + 0.5])
         self.p = {
-            "x": small(self.words + self.rest, 3 * hidden), "u": small(hidden, 3 * hidden),
+            "x": small(self.words + self.rest, hidden), "i": (rng.standard_normal((hidden, 3 * hidden)) * hidden**-0.5).astype(np.float32), "u": small(hidden, 3 * hidden),
             "c": small(hidden, n_class), "cb": np.log(mass / mass.sum()).astype(np.float32),
             "w": small(self.words, hidden), "wb": np.log(f / per[own]).astype(np.float32),
         }
 
-    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
-        """The next state, and what its gradient needs: both gates side by side, the candidate, what the state gave it."""
+    def step(self, x: np.ndarray, h: np.ndarray, a: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+        """The next state, and what its gradient needs: both gates side by side, the candidate, what the state gave it.
+
+        a: what the words give to gates and candidate, where it is known; it is overwritten.
+        """
         k = self.hidden
-        a, b = self.p["x"][x], h @ self.p["u"]
+        a, b = self.p["x"][x] @ self.p["i"] if a is None else a, h @ self.p["u"]
         un = b[:, 2 * k :]
         g = _sigmoid(np.add(a[:, : 2 * k], b[:, : 2 * k], out=a[:, : 2 * k]))
         n = a[:, 2 * k :]
@@ -137,13 +140,14 @@ class GRU:
         total = np.zeros(len(texts))
         h = np.zeros((len(texts), self.hidden), np.float32)
         last = np.zeros(len(texts), np.int64)
+        given = self.p["x"] @ self.p["i"]
         for lo in range(0, int(lengths.max(initial=0)), window):
             n = int(np.searchsorted(-lengths, -lo, side="left"))  # texts longer than lo come first
             live = np.minimum(lengths[:n] - lo, window)
             held, wanted, owner = [], [], []
             for t in range(int(live.max())):
                 m = int(np.searchsorted(-live, -t, side="left"))
-                new = self.step(last[:m], h[:m])[0]
+                new = self.step(last[:m], h[:m], given[last[:m]])[0]
                 h[:m] = new
                 last[:m] = now = flat[begin[:m] + (lo + t)]
                 held.append(new)
@@ -220,9 +224,12 @@ class GRU:
         g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("w", "wb")}
         start = (x.T != 0).astype(kind)[:, :, None]
         before, gate, cand, un, states = (np.empty((steps, n, s), kind) for s in (k, 2 * k, k, k, k))
+        ids = x.T.reshape(-1)
+        words = self.p["x"][ids]
+        given = (words @ self.p["i"]).reshape(steps, n, 3 * k)
         for t in range(steps):
             np.multiply(h, start[t], out=before[t])
-            h, gate[t], cand[t], un[t] = self.step(x[:, t], before[t])
+            h, gate[t], cand[t], un[t] = self.step(x[:, t], before[t], given[t])
             states[t] = h
         target = y.T.reshape(-1)
         order, own, classes = self._classes(target)
@@ -263,9 +270,10 @@ class GRU:
             back += d * z[t]
             back *= start[t]
         g["u"] = before.reshape(-1, k).T @ made.reshape(-1, 3 * k)
-        ids = x.T.reshape(-1)
-        order = np.argsort(ids, kind="stable")
+        moved = moved.reshape(-1, 3 * k)
+        g["i"] = words.T @ moved
+        order = np.argsort(ids.astype(np.uint16) if self.words + self.rest < 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        g["x"] = np.add.reduceat(moved.reshape(-1, 3 * k)[order], first)
+        g["x"] = np.add.reduceat((moved @ self.p["i"].T)[order], first)
         return g, ranked[first], h

@@ -9,7 +9,8 @@ digits and length). Of its class an unlisted word has the share (c + 1) / Z, by
 log probability over all words, seen or not, and what it gathers grows with the corpus.
 
 Counts of frequent words go to every executor, in a list of bounded length; those of all others meet the documents'
-words in an equi-join.
+words in an equi-join. After they are counted, texts are split into words once: training and scoring read what was written
+then, a code of four bytes for each word.
 """
 
 from __future__ import annotations
@@ -32,8 +33,10 @@ from .shingles import word_spans
 #: Words listed in the model at least (at most those sent); words whose counts are sent to executors.
 LISTED, SENT = 2048, 1 << 18
 #: Tokens scored side by side, and distinct words a task counts before it hands them on.
-TOGETHER, HELD = 1_500_000, 2_000_000
+TOGETHER, HELD = 4_000_000, 2_000_000
 CLASSES, END = 16, 0
+#: Leading bits of a word's key by which a place in the list is found.
+BITS = 20
 #: Rounds that make one pass over all training text; tokens a copy learns from in a round, about, where there are enough;
 #: weights in a row of a copy, and copies averaged in one group.
 ROUNDS, COPY_TOKENS, PIECE, FAN_IN = 8, 1 << 18, 1 << 16, 32
@@ -109,23 +112,76 @@ class Lexicon:
         self.freq = np.zeros(self.words)
         self.freq[self.id[self.id >= 0]] = self.c[self.id >= 0]
 
-    def find(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(place or -1, model id) of each word."""
-        if not len(self.key):
-            return np.full(len(key), -1), self.words + (key & (CLASSES - 1))
-        p = np.minimum(np.searchsorted(self.key, key), len(self.key) - 1)
-        p = np.where(self.key[p] == key, p, -1)
-        i = np.where(p >= 0, self.id[p], -1)
-        return p, np.where(i >= 0, i, self.words + (key & (CLASSES - 1)))
+        # Of each code, a place in the list or, beyond it, the class of a word that isn't sent: its model id.
+        self.ids = np.concatenate([np.where(self.id >= 0, self.id, self.words + (self.key & (CLASSES - 1))), self.words + np.arange(CLASSES)]).astype(np.int32)
+
+    def codes(self, key: np.ndarray) -> np.ndarray:
+        """The code of each word (int32): its place in the list, or the list's length and its class."""
+        if "starts" not in self.__dict__:  # once in each worker
+            self.starts = np.searchsorted(self.key >> np.int64(64 - BITS), np.arange(-(1 << BITS - 1), (1 << BITS - 1) + 1)).astype(np.int32)
+        out = (len(self.key) + (key & (CLASSES - 1))).astype(np.int32)
+        bucket = (key >> np.int64(64 - BITS)) + (1 << BITS - 1)
+        at, end = self.starts[bucket], self.starts[bucket + 1]
+        live = np.flatnonzero(at < end)
+        at, end, key = at[live], end[live], key[live]
+        while len(live):
+            same = self.key[at] == key
+            out[live[same]] = at[same]
+            at += 1
+            more = ~same & (at < end)
+            live, at, end, key = live[more], at[more], end[more], key[more]
+        return out
+
+
+def split_words(docs: DataFrame, lexicon: Lexicon, id_col: str = "doc_id", text_col: str = "text", train: Column | None = None) -> DataFrame:
+    """A written table of two kinds of rows. A document: rid, its own number; id; codes (int32) of its words; round, from 0 on
+    for those to train on, else -1. A word of it that isn't sent, of round -2: rid, key, times."""
+    spark = docs.sparkSession
+    bounded_batches(spark)
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"), F.lit(False).alias("train") if train is None else train.alias("train"))
+    kind, sent = rows.schema["id"].dataType.simpleString(), spark.sparkContext.broadcast(lexicon)
+    names = ["round", "rid", "id", "codes", "key", "times"]
+
+    def others(b: pa.RecordBatch, rid: int, code: np.ndarray, key: np.ndarray, at: np.ndarray) -> pa.RecordBatch | None:
+        out = np.flatnonzero(code >= len(sent.value.key))
+        if not len(out):
+            return None
+        key, doc = key[out], np.searchsorted(at, out, side="right") - 1
+        order = np.lexsort((key, doc))
+        key, doc = key[order], doc[order]
+        new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
+        none = [pa.nulls(len(new), t) for t in (b.column(0).type, pa.binary())]
+        return pa.record_batch([pa.array(np.full(len(new), -2, np.int32)), pa.array(doc[new] + rid), *none, pa.array(key[new]), pa.array(np.diff(np.append(new, len(key))).astype(np.int32))], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        turn, rid = part, part << 40
+        for b in batches:
+            n = b.num_rows
+            if n:
+                key, at = word_keys(*utf8_buffer(b.column(1)))
+                code = sent.value.codes(key)
+                if (more := others(b, rid, code, key, at)) is not None:
+                    yield more
+                learn_ = b.column(2).to_numpy(zero_copy_only=False).astype(bool)
+                round_ = np.where(learn_, (turn + np.cumsum(learn_) - 1) % ROUNDS, -1).astype(np.int32)
+                turn += int(learn_.sum())
+                raw, cuts = code.tobytes(), (4 * at).tolist()
+                yield pa.record_batch([pa.array(round_), pa.array(np.arange(rid, rid + n)), b.column(0), pa.array([raw[x:y] for x, y in zip(cuts, cuts[1:], strict=False)], pa.binary()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32())], names)
+                rid += n
+
+    return written(rows.mapInArrow(run, f"round int, rid long, id {kind}, codes binary, key long, times int"), "lm-words", by="round")
 
 
-def train(ids: DataFrame, model: GRU, tokens: int, rate: float = 1.2e-2) -> list[int]:
-    """Train the model on every row of ids (round, binary int32) once; returns the tokens each round learned from.
+def train(words: DataFrame, model: GRU, ids: np.ndarray, tokens: int, rate: float = 1.2e-2) -> list[int]:
+    """Train the model on every row of words (round, codes) of rounds from 0 on, once; returns the tokens each round learned from.
+
+    ids: the model's id of each code.
 
     A task holds one copy and about a million tokens; copies meet piece by piece in a tree of bounded fan-in, and the
     driver gets one copy's worth. Few tokens make few copies. Within a round the rate stands, from round to round it falls.
     """
-    spark = ids.sparkSession
+    spark = words.sparkSession
     names = sorted(model.p)
     cuts = np.cumsum([model.p[k].size for k in names])
     copies = max(1, tokens // (ROUNDS * COPY_TOKENS))
@@ -138,19 +194,20 @@ def train(ids: DataFrame, model: GRU, tokens: int, rate: float = 1.2e-2) -> list
         return pd.DataFrame({"pid": [int(key[0])], "piece": [int(key[1])], "n": [int(n)], "v": [v.astype(np.float32).tobytes()]})
 
     for r in range(ROUNDS):
-        sent = spark.sparkContext.broadcast(model)
+        sent = spark.sparkContext.broadcast((model, ids))
         now = rate * (1 - 0.9 * (r + 0.5) / ROUNDS)
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent, now=now) -> Iterator[pa.RecordBatch]:
-            own = copy.copy(sent.value)
+            first, ids = sent.value
+            own = copy.copy(first)
             own.p = {k: v.copy() for k, v in own.p.items()}
-            n = own.train((np.frombuffer(x, np.int32).astype(np.int64) for b in batches for x in b.column(0).to_pylist()), now)
+            n = own.train((ids[np.frombuffer(x, np.int32)] for b in batches for x in b.column(0).to_pylist()), now)
             if n:
                 flat = np.concatenate([own.p[k].reshape(-1) for k in names])
                 for i, lo in enumerate(range(0, len(flat), PIECE)):
                     yield pa.record_batch([pa.array([TaskContext.get().partitionId()], pa.int64()), pa.array([i], pa.int32()), pa.array([n], pa.int64()), pa.array([flat[lo : lo + PIECE].tobytes()], pa.binary())], ["pid", "piece", "n", "v"])
 
-        part = ids.where(F.col("round") == r).select("ids").coalesce(copies)
+        part = words.where(F.col("round") == r).select("codes").coalesce(copies)
         parts = part.mapInArrow(run, kinds)
         left = max(2, part.rdd.getNumPartitions())
         while left > 1:
@@ -165,35 +222,33 @@ def train(ids: DataFrame, model: GRU, tokens: int, rate: float = 1.2e-2) -> list
     return seen
 
 
-def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon, GRU]:
-    """The counts of all words of these documents, the lexicon and the model, trained on every one of them."""
+def count(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon]:
+    """The counts of all words of these documents, and the lexicon."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    texts = docs.select(F.col(text_col).alias("t"))
-    counts = written(count_words(texts), "lm-counts")
+    counts = written(count_words(docs.select(F.col(text_col).alias("t"))), "lm-counts")
     n, v = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     top = counts.orderBy(F.desc("c"), "key").limit(SENT).toArrow()
     per = counts.where(F.col("key") != END).groupBy(F.expr(f"key & {CLASSES - 1}").alias("k")).agg(F.sum("c").alias("c"), F.count("*").alias("n")).collect()
     sums, sizes = np.zeros(CLASSES), np.zeros(CLASSES)
     for r in per:
         sums[r["k"]], sizes[r["k"]] = r["c"], r["n"]
-    lexicon = Lexicon(top.column("key").to_numpy(), top.column("c").to_numpy(), n, v, sums, sizes)
-    sent = spark.sparkContext.broadcast(lexicon)
+    return counts, Lexicon(top.column("key").to_numpy(), top.column("c").to_numpy(), n, v, sums, sizes)
 
-    def as_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        done = TaskContext.get().partitionId()
-        for b in batches:
-            if b.num_rows:
-                key, at = word_keys(*utf8_buffer(b.column(0)))
-                i = sent.value.find(key)[1].astype(np.int32)
-                turn = (np.arange(done, done + b.num_rows) % ROUNDS).astype(np.int32)
-                done += b.num_rows
-                yield pa.record_batch([pa.array(turn), pa.array([i[x:y].tobytes() for x, y in zip(at[:-1], at[1:], strict=True)], pa.binary())], ["round", "ids"])
 
-    ids = written(texts.mapInArrow(as_ids, "round int, ids binary"), "lm-ids", by="round")
+def fitted(words: DataFrame, lexicon: Lexicon) -> GRU:
+    """A model trained on every document of split_words() that is to be trained on."""
     model = GRU(lexicon.freq, lexicon.rest, width=max(64, 2 * math.isqrt(lexicon.words)))
-    train(ids, model, n)
-    drop_written(spark, ids)
+    train(words, model, lexicon.ids, lexicon.n)
+    return model
+
+
+def learn(docs: DataFrame, text_col: str = "text") -> tuple[DataFrame, Lexicon, GRU]:
+    """The counts of all words of these documents, the lexicon and the model, trained on every one of them."""
+    counts, lexicon = count(docs, text_col)
+    words = split_words(docs, lexicon, text_col, text_col, F.lit(True))
+    model = fitted(words, lexicon)
+    drop_written(docs.sparkSession, words)
     return counts, lexicon, model
 
 
@@ -202,76 +257,69 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
 
     Words: what stands between ASCII white space, A-Z lower-cased; the end is a token. A null text has the end alone.
     base_score: add-one unigram log10; score: the model's log10 probability. Equal ids and null ids each have their own
-    row. A very long text is scored in windows, with the state carried on; its words are held at once, as ids. Other columns
-    are left out, whatever their names. With nothing learned every count is 0. No rows: no rows.
+    row. A very long text is scored in windows, with the state carried on; its words are held at once, as codes. Other
+    columns are left out, whatever their names. With nothing learned every count is 0. No rows: no rows.
     """
-    spark = docs.sparkSession
-    bounded_batches(spark)
-    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t"))
-    kind = rows.schema["id"].dataType
-    names = ["rid", "id", "n_tokens", "known", "base", "own", "key", "times"]
+    return scored(split_words(docs, lexicon, id_col, text_col), counts, lexicon, model).withColumnRenamed("id", id_col)
+
+
+def scored(words: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU) -> DataFrame:
+    """score() of documents that were split into words."""
+    spark = words.sparkSession
+    rows = words.where("round >= -1").select("rid", "id", "codes")
+    kind = rows.schema["id"].dataType.simpleString()
     sent = spark.sparkContext.broadcast((lexicon, model))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """A row for each document, numbered; and one for each of its words that isn't sent (key, times)."""
         lex, gru = sent.value
-        log_z, below = np.log10(lex.z), np.log10(lex.n + lex.v + 1)
-        log_c = np.append(np.log10(lex.c + 1.0), 0.0)  # place -1, unseen: the logarithm of 0 + 1
-        end_p, _ = lex.find(np.array([END]))
-        end_c = log_c[end_p[0]]
-        held, size, rid = [], 0, TaskContext.get().partitionId() << 40
+        below, listed = np.log10(lex.n + lex.v + 1), len(lex.key)
+        log_c = np.concatenate([np.log10(lex.c + 1.0), np.zeros(CLASSES)])  # unseen: the logarithm of 0 + 1
+        # of its class an unlisted word has (c + 1) / Z
+        rest = np.where(lex.ids >= lex.words, log_c - np.log10(lex.z)[np.concatenate([lex.key & (CLASSES - 1), np.arange(CLASSES)])], 0.0)
+        end = lex.codes(np.array([END]))[0]
+        held, size = [], 0
 
         def emit() -> pa.RecordBatch:
-            texts = [i[x:y] for _, _, i, _, _, at in held for x, y in zip(at[:-1], at[1:], strict=True)]
-            natural = gru.score(texts)
-            known, base, tail = [], [], []
-            for _, _, ids, p, key, at in held:
-                add = lambda x, a=at: np.add.reduceat(np.append(x, 0.0), a[:-1]) * (np.diff(a) > 0) if len(a) > 1 else np.empty(0)
-                known.append(add((p >= 0).astype(float)) + (end_p[0] >= 0))
-                base.append(add(log_c[p]) + end_c)
-                # of its class an unlisted word has (c + 1) / Z
-                tail.append(add(np.where(ids >= lex.words, log_c[p] - log_z[key & (CLASSES - 1)], 0.0)))
-            n = np.concatenate([np.diff(at) for *_, at in held]) + 1
-            out = [pa.array(n.astype(np.int64)), pa.array(np.concatenate(known).astype(np.int64)), pa.array(np.concatenate(base) - n * below), pa.array(natural / np.log(10) + np.concatenate(tail))]
-            number = np.concatenate([np.arange(r, r + i) for r, i in ((x[0], len(x[1])) for x in held)])
-            none = [pa.nulls(len(n), t) for t in (pa.int64(), pa.int32())]
-            return pa.record_batch([pa.array(number), pa.concat_arrays([x[1] for x in held]), *out, *none], names)
-
-        def others(b: pa.RecordBatch, p: np.ndarray, key: np.ndarray, at: np.ndarray) -> pa.RecordBatch | None:
-            out = np.flatnonzero(p < 0)
-            if not len(out):
-                return None
-            key, doc = key[out], np.searchsorted(at, out, side="right") - 1
-            order = np.lexsort((key, doc))
-            key, doc = key[order], doc[order]
-            new = np.flatnonzero(np.append(True, (key[1:] != key[:-1]) | (doc[1:] != doc[:-1])))
-            none = [pa.nulls(len(new), t) for t in (b.column(0).type, pa.int64(), pa.int64(), pa.float64(), pa.float64())]
-            return pa.record_batch([pa.array(doc[new] + rid), *none, pa.array(key[new]), pa.array(np.diff(np.append(new, len(key))).astype(np.int32))], names)
+            first = [pa.concat_arrays([b.column(j) for b, _ in held]) for j in (0, 1)]
+            codes = [c for _, c in held]
+            n = np.concatenate([np.array([len(x) for x in c]) for c in codes])
+            natural = gru.score([lex.ids[x] for c in codes for x in c])
+            known, base, own = np.zeros(len(n)), np.zeros(len(n)), np.zeros(len(n))
+            at = 0
+            for c in codes:
+                sizes = n[at : at + len(c)]
+                flat = np.concatenate([*c, np.empty(0, np.int32)])
+                begin = np.cumsum(sizes) - sizes
+                for out, values in ((known, flat < listed), (base, log_c[flat]), (own, rest[flat])):
+                    out[at : at + len(c)] = np.add.reduceat(np.append(values.astype(float), 0.0), begin) * (sizes > 0)
+                at += len(c)
+            known += end < listed
+            base += log_c[end] - (n + 1) * below
+            out = [pa.array(n + 1), pa.array(known.astype(np.int64)), pa.array(base), pa.array(natural / np.log(10) + own)]
+            return pa.record_batch([*first, *out], ["rid", "id", "n_tokens", "known", "base", "own"])
 
         for b in batches:
             if b.num_rows:
-                key, at = word_keys(*utf8_buffer(b.column(1)))
-                p, ids = lex.find(key)
-                if (more := others(b, p, key, at)) is not None:
-                    yield more
-                held.append((rid, b.column(0), ids, p, key, at))
-                rid += b.num_rows
-                size += len(key)
+                held.append((b, [np.frombuffer(x, np.int32) for x in b.column(2).to_pylist()]))
+                size += sum(map(len, held[-1][1]))
                 if size > TOGETHER:
                     yield emit()
                     held, size = [], 0
         if held:
             yield emit()
 
-    both = written(rows.mapInArrow(run, f"rid long, id {kind.simpleString()}, n_tokens long, known long, base double, own double, key long, times int"), "lm-scored")
-    # Words that aren't sent meet their counts; each row of the table has its own number.
-    met = both.where("key is not null").select("rid", "key", "times").join(counts, "key").groupBy("rid").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("seen"))
-    out = both.where("key is null").join(met, "rid", "left")
+    out = rows.mapInArrow(run, f"rid long, id {kind}, n_tokens long, known long, base double, own double")
+    # Words that aren't sent meet their counts; each document has its own number.
+    few = words.where("round = -2").select(F.col("rid").alias("r"), "key", "times")
+    met = few.join(counts, "key").groupBy("r").agg(F.sum(F.col("times") * F.log10(F.col("c") + 1)).alias("more"), F.sum("times").alias("seen"))
+    out = out.join(met, F.col("rid") == F.col("r"), "left")
     more, seen = F.coalesce("more", F.lit(0.0)), F.coalesce("seen", F.lit(0)).cast("long")
-    return out.select(F.col("id").alias(id_col), "n_tokens", (F.col("known") + seen).alias("n_known"), F.lit(int(lexicon.n)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("own") + more).alias("score"))
+    return out.select("id", "n_tokens", (F.col("known") + seen).alias("n_known"), F.lit(int(lexicon.n)).cast("long").alias("train_tokens"), (F.col("base") + more).alias("base_score"), (F.col("own") + more).alias("score"))
 
 
 def op4_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
-    out = score(docs, *learn(docs.where(training())))
+    counts, lexicon = count(docs.where(training()))
+    words = split_words(docs, lexicon, train=training())
+    out = scored(words, counts, lexicon, fitted(words, lexicon)).withColumnRenamed("id", "doc_id")
     return out.withColumn("held_out", ~training()).select("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
