@@ -261,6 +261,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
     all_rows = written(sketches(docs, k, trees_for(num / den), id_col, text_col), "sketches")
     lead = F.struct(F.col("_id").isNull().alias("none"), "_id", "_rk")
     classes = written(all_rows.where("cls is not null").groupBy("cls").agg(F.min(lead).alias("first"), F.min("n").alias("n"), F.min("mh").alias("mh")), "classes")
+    slim = written(all_rows.select("_id", "_rk", "n", "cls"), "doc-classes")
+    drop_written(spark, all_rows)
     rough = rough_links(classes, num / den)
     links = None
     if not rough.isEmpty():
@@ -275,7 +277,7 @@ def near_duplicates(docs: DataFrame, k: int = 5, num: int = 80, den: int = 100,
         heads = heads.join(named.select("cls", "root").join(low, "root").select("cls", "low"), "cls", "left").select("cls", F.coalesce("low", "first").alias("first"))
         heads = written(heads, "heads")
         drop_written(spark, classes, links)
-    out = all_rows.select("_id", "_rk", "n", "cls").join(heads, "cls", "left")
+    out = slim.join(heads, "cls", "left")
     return out.select(F.col("_id").alias(id_col), "_rk", F.col("n").alias("n_shingles"), F.coalesce("first", lead).alias("lead"))
 
 
