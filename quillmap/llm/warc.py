@@ -218,6 +218,6 @@ with p as (select page_id, strlen(coalesce(html, '')) as payload_bytes, sha256(c
 f as (select payload_digest as d, min(page_id) as first from p where payload_bytes >= 100 group by payload_digest)
 select page_id, payload_bytes, payload_digest,
   case when payload_bytes >= 100 and page_id <> first then 'revisit' else 'response' end as record_type,
-  case when payload_bytes >= 100 and page_id <> first then first end as refers_to, 3 as n_records, true as has_request
+  case when payload_bytes >= 100 and page_id <> first then first end as refers_to, 3::bigint as n_records, true as has_request
 from p left join f on d = payload_digest
 """
