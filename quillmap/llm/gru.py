@@ -14,11 +14,13 @@ import numpy as np
 
 #: Outputs beyond it are cut to it, in training and scoring alike: the softmax needs no largest output then.
 MOST = 60.0
+#: Rows whose outputs are computed at once, texts whose states move side by side when scoring, states held for their outputs,
+#: and weights moved at once: as many as stay in a core's cache.
+ROWS, ABREAST, STATES, MOVED = 2048, 512, 1 << 15, 1 << 14
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    """1 / (1 + exp(-x)), in place."""
-    x *= 0.5
+def _sigmoid_of_double(x: np.ndarray) -> np.ndarray:
+    """1 / (1 + exp(-2x)), in place."""
     np.tanh(x, out=x)
     x += 1
     x *= 0.5
@@ -26,40 +28,46 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
 
 
 class Adam:
-    """Adam over a model's arrays; of the input vectors only the rows that a window has are moved."""
+    """Adam over a model's arrays; of the input vectors only the rows that a window has are moved.
+
+    m and v lack their factors 0.1 and 0.01, which the step makes good.
+    """
 
     def __init__(self, p: dict[str, np.ndarray]):
         self.p, self.done = p, 0
         self.m, self.v = ({k: np.zeros_like(a) for k, a in p.items()} for _ in range(2))
-        self.held = {k: np.empty_like(a) for k, a in p.items() if k != "x"}
 
     def step(self, grad: dict[str, np.ndarray], rows: np.ndarray, rate: float) -> None:
-        """grad["x"] has the gradients of these rows only."""
+        """grad["x"] has the gradients of these rows only. The gradients are overwritten."""
         self.done += 1
         clip = min(1.0, 5.0 / (np.sqrt(sum(float(np.vdot(g, g)) for g in grad.values())) + 1e-9))
-        now, far = rate / (1 - 0.9**self.done), 1 - 0.99**self.done
+        far = ((1 - 0.99**self.done) / 0.01) ** 0.5
+        now, least = 0.1 * far * rate / (1 - 0.9**self.done), 1e-6 * far
         for k, g in grad.items():
-            part = k == "x"
-            m, v = (self.m[k][rows], self.v[k][rows]) if part else (self.m[k], self.v[k])
-            t = np.empty_like(m) if part else self.held[k]
-            np.multiply(g, 0.1 * clip, out=t)
-            m *= 0.9
-            m += t
-            np.multiply(g, g, out=t)
-            t *= 0.01 * clip * clip
-            v *= 0.99
-            v += t
-            if part:
-                self.m[k][rows], self.v[k][rows] = m, v
-            np.sqrt(v, out=t)
-            t *= far**-0.5
-            t += 1e-6
-            np.divide(m, t, out=t)
-            t *= now
-            if part:
-                self.p[k][rows] -= t
+            if k == "x":
+                p, m, v = (a[k][rows] for a in (self.p, self.m, self.v))
+                self._move(p, m, v, g, clip, now, least)
+                self.p[k][rows], self.m[k][rows], self.v[k][rows] = p, m, v
             else:
-                self.p[k] -= t
+                p, m, v, g = (a.reshape(-1) for a in (self.p[k], self.m[k], self.v[k], g))
+                for lo in range(0, len(g), MOVED):
+                    at = slice(lo, lo + MOVED)
+                    self._move(p[at], m[at], v[at], g[at], clip, now, least)
+
+    @staticmethod
+    def _move(p: np.ndarray, m: np.ndarray, v: np.ndarray, g: np.ndarray, clip: float, now: float, least: float) -> None:
+        if clip < 1:
+            g *= clip
+        m *= 0.9
+        m += g
+        g *= g
+        v *= 0.99
+        v += g
+        np.sqrt(v, out=g)
+        g += least
+        np.divide(m, g, out=g)
+        g *= now
+        p -= g
 
 
 class GRU:
@@ -84,80 +92,115 @@ class GRU:
             "w": small(self.words, hidden), "wb": np.log(f / per[own]).astype(np.float32),
         }
 
-    def step(self, x: np.ndarray, h: np.ndarray, a: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
-        """The next state, and what its gradient needs: both gates side by side, the candidate, what the state gave it.
+    def _given(self) -> tuple[np.ndarray, np.ndarray]:
+        """i and u with columns as rows; those of the gates halved, as _sigmoid_of_double takes them."""
+        half = np.repeat(np.array([0.5, 0.5, 1], self.p["u"].dtype), self.hidden)[:, None]
+        return self.p["i"].T * half, self.p["u"].T * half
 
-        a: what the words give to gates and candidate, where it is known; it is overwritten.
-        """
+    def _step(self, a: np.ndarray, b: np.ndarray, h: np.ndarray, new: np.ndarray) -> None:
+        """The next state into new. A column is a text: a has what the words give to gates and candidate, b what the state h
+        gives. a is overwritten with the gates and the candidate, the first rows of b with what is passing."""
         k = self.hidden
-        a, b = self.p["x"][x] @ self.p["i"] if a is None else a, h @ self.p["u"]
-        un = b[:, 2 * k :]
-        g = _sigmoid(np.add(a[:, : 2 * k], b[:, : 2 * k], out=a[:, : 2 * k]))
-        n = a[:, 2 * k :]
-        n += g[:, :k] * un
+        g, n, t = a[: 2 * k], a[2 * k :], b[:k]
+        g += b[: 2 * k]
+        _sigmoid_of_double(g)
+        np.multiply(g[:k], b[2 * k :], out=t)
+        n += t
         np.tanh(n, out=n)
-        new = h - n
-        new *= g[:, k:]
+        np.subtract(h, n, out=new)
+        new *= g[k:]
         new += n
-        return new, g, n, un
 
-    def _outputs(self, h: np.ndarray, w: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(outputs, their exponentials, the sums of these)."""
+    def step(self, x: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The next state and, side by side, both gates and the candidate: a row is a text."""
+        i, u = self._given()
+        a, new = i @ self.p["x"][x].T, np.empty(h.T.shape, i.dtype)
+        self._step(a, u @ h.T, h.T, new)
+        return new.T, a.T
+
+    def _within(self, most: float = 1.0) -> bool:
+        """Whether no output can be beyond MOST, so that none has to be cut; most: the largest entry of a state (1: none was given)."""
+        longest = lambda a: float(np.einsum("ij,ij->i", a, a).max(initial=0)) ** 0.5
+        w, b = max(longest(self.p["w"]), longest(self.p["c"].T)), max(float(np.abs(self.p[b]).max(initial=0)) for b in ("wb", "cb"))
+        return most * self.hidden**0.5 * w + b < 0.99 * MOST
+
+    @staticmethod
+    def _outputs(h: np.ndarray, w: np.ndarray, bias: np.ndarray, within: bool) -> np.ndarray:
         s = h @ w
         s += bias
-        np.clip(s, -MOST, MOST, out=s)
-        e = np.exp(s)
-        return s, e, e @ np.ones(e.shape[1], e.dtype)
+        if not within:
+            np.clip(s, -MOST, MOST, out=s)
+        return s
 
-    def _classes(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]:
-        """Targets in the order of their classes, the classes in this order, and of classes of several words (first word, end, first place, end)."""
+    def _classes(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
+        """Of targets: their classes, and of classes of several words (first word, end, which targets), at most ROWS at once."""
         own = self.own[target]
         order = np.argsort(own.astype(np.int16) if self.listed + self.rest < 1 << 15 else own, kind="stable")
-        own = own[order]
-        cuts = np.searchsorted(own, np.arange(self.listed + 1)).tolist()
+        cuts = np.searchsorted(own[order], np.arange(self.listed + 1)).tolist()
         first = self.first.tolist()
-        return order, own, [(lo, hi, a, b) for lo, hi, a, b in zip(first, first[1:], cuts, cuts[1:], strict=False) if b > a and hi - lo > 1]
-
-    def log_probs(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural logarithms of P(class) P(word | class), or of P(class) for unlisted words."""
-        order, own, classes = self._classes(target)
-        h, target = h[order], target[order]
-        s, _, z = self._outputs(h, self.p["c"], self.p["cb"])
-        got = s[np.arange(len(own)), own] - np.log(z)
-        for lo, hi, a, b in classes:
-            s, _, z = self._outputs(h[a:b], self.p["w"][lo:hi].T, self.p["wb"][lo:hi])
-            got[a:b] += s[np.arange(b - a), target[a:b] - lo] - np.log(z)
-        out = np.empty_like(got)
-        out[order] = got
+        some = [(lo, hi, a, b) for lo, hi, a, b in zip(first, first[1:], cuts, cuts[1:], strict=False) if hi - lo > 1]
+        return own, [(lo, hi, order[x : min(x + ROWS, b)]) for lo, hi, a, b in some for x in range(a, b, ROWS)]
+
+    def log_probs(self, h: np.ndarray, target: np.ndarray, within: bool = False) -> np.ndarray:
+        """Natural logarithms of P(class) P(word | class), or of P(class) for unlisted words. within: no output is beyond MOST."""
+        own, classes = self._classes(target)
+        out, places = np.empty(len(h), h.dtype), np.arange(ROWS)
+
+        def log_softmax(h: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
+            s = self._outputs(h, w, bias, within)
+            got = s[places[: len(s)], at]
+            np.exp(s, out=s)
+            got -= np.log(s @ np.ones(s.shape[1], s.dtype))
+            return got
+
+        for lo in range(0, len(h), ROWS):
+            at = slice(lo, lo + ROWS)
+            out[at] = log_softmax(h[at], self.p["c"], self.p["cb"], own[at])
+        for lo, hi, at in classes:
+            out[at] += log_softmax(h[at], self.p["w"][lo:hi].T, self.p["wb"][lo:hi], target[at] - lo)
         return out
 
-    def score(self, texts: list[np.ndarray], window: int = 32) -> np.ndarray:
-        """The log probability (natural) of each whole text's ids, the end included: windows carry the state on."""
+    def score(self, texts: list[np.ndarray], window: int = STATES) -> np.ndarray:
+        """The log probability (natural) of each whole text's ids, the end included.
+
+        Texts of similar length move side by side; once there are `window` states their outputs are computed.
+        """
         order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
-        lengths = np.array([len(texts[i]) + 1 for i in order])
-        flat = np.concatenate([np.append(texts[i], 0) for i in order]) if texts else np.empty(0, np.int64)
-        begin = np.concatenate([[0], np.cumsum(lengths)[:-1]]) if texts else lengths
         total = np.zeros(len(texts))
-        h = np.zeros((len(texts), self.hidden), np.float32)
-        last = np.zeros(len(texts), np.int64)
-        given = self.p["x"] @ self.p["i"]
-        for lo in range(0, int(lengths.max(initial=0)), window):
-            n = int(np.searchsorted(-lengths, -lo, side="left"))  # texts longer than lo come first
-            live = np.minimum(lengths[:n] - lo, window)
-            held, wanted, owner = [], [], []
-            for t in range(int(live.max())):
-                m = int(np.searchsorted(-live, -t, side="left"))
-                new = self.step(last[:m], h[:m], given[last[:m]])[0]
-                h[:m] = new
-                last[:m] = now = flat[begin[:m] + (lo + t)]
-                held.append(new)
-                wanted.append(now)
-                owner.append(np.arange(m))
-            got = self.log_probs(np.concatenate(held), np.concatenate(wanted))
-            total[:n] += np.bincount(np.concatenate(owner), got, n)
-        out = np.zeros(len(texts))
-        out[order] = total
-        return out
+        (i, u), within = self._given(), self._within()
+        room, kind = max(window, ABREAST), i.dtype
+        states, wanted, owner, used = np.empty((room, self.hidden), kind), np.empty(room, np.int64), np.empty(room, np.int64), 0
+
+        def flush() -> None:
+            got = self.log_probs(states[:used], wanted[:used], within)
+            np.add(total, np.bincount(owner[:used], got, len(total)), out=total)
+
+        for lo in range(0, len(order), ABREAST):
+            which = np.array(order[lo : lo + ABREAST])
+            lengths = np.array([len(texts[j]) + 1 for j in which])
+            flat = np.concatenate([np.append(texts[j], 0) for j in which])
+            begin = np.cumsum(lengths) - lengths
+            live = len(which) - np.searchsorted(lengths[::-1], np.arange(lengths[0]), side="right")  # longest first: they go on
+            h, last, m = np.zeros((self.hidden, len(which)), kind), np.zeros(len(which), np.int64), len(which)
+            a, b, new = (np.empty((rows * self.hidden, m), kind) for rows in (3, 3, 1))
+            for t, now in enumerate(live.tolist()):
+                if now < m:
+                    m = now
+                    h, last, begin, which = h[:, :m].copy(), last[:m], begin[:m], which[:m]
+                    a, b, new = (np.empty((rows * self.hidden, m), kind) for rows in (3, 3, 1))
+                np.matmul(i, self.p["x"][last].T, out=a)
+                np.matmul(u, h, out=b)
+                self._step(a, b, h, new)
+                h, new = new, h
+                last = flat[begin + t]
+                if used + m > room:
+                    flush()
+                    used = 0
+                states[used : used + m], wanted[used : used + m], owner[used : used + m] = h.T, last, which
+                used += m
+        if used:
+            flush()
+        return total
 
     def fit(self, texts: list[np.ndarray], streams: int = 64, window: int = 24, epochs: int = 2, rate: float = 4e-3) -> GRU:
         """Truncated backpropagation: texts end to end in parallel streams; the state goes on from window to window."""
@@ -176,10 +219,10 @@ class GRU:
 
     def _windows(self, x: np.ndarray, y: np.ndarray, window: int, adam: Adam, rate) -> None:
         """Windows of parallel streams one after another; rate(targets of the window) is the step's."""
-        h = np.zeros((len(x), self.hidden), np.float32)
+        h, room = np.zeros((len(x), self.hidden), np.float32), {}
         for lo in range(0, x.shape[1], window):
             part = x[:, lo : lo + window]
-            grad, rows, h = self._window(part, y[:, lo : lo + window], h)
+            grad, rows, h = self._window(part, y[:, lo : lo + window], h, room)
             adam.step(grad, rows, rate(part.size))
 
     def train(self, texts: Iterable[np.ndarray], rate: float, streams: int = 256, window: int = 24, held: int = 1 << 20) -> int:
@@ -214,66 +257,97 @@ class GRU:
             run(True)
         return seen
 
-    def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
+    def _window(self, x: np.ndarray, y: np.ndarray, h: np.ndarray, room: dict[str, np.ndarray] | None = None) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
         """Gradients of the mean loss over a window (of "x" for the rows returned), and the state after it.
 
-        A text's first step starts from no state.
+        A text's first step starts from no state. Inside, a column of a step is a text, so that gates are blocks of memory.
+        room: arrays that the windows of one pass share.
         """
         n, steps, k = len(x), x.shape[1], self.hidden
-        kind = self.p["u"].dtype
-        g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("w", "wb")}
-        start = (x.T != 0).astype(kind)[:, :, None]
-        before, gate, cand, un, states = (np.empty((steps, n, s), kind) for s in (k, 2 * k, k, k, k))
+        kind, room = self.p["u"].dtype, {} if room is None else room
+
+        def space(name: str, *shape: int) -> np.ndarray:
+            if name not in room or room[name].shape != shape or room[name].dtype != kind:
+                room[name] = np.empty(shape, kind)
+            return room[name]
+
+        g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("i", "u", "c", "cb")} | {a: space("g" + a, *self.p[a].shape) for a in ("w", "wb")}
+        g["w"][:], g["wb"][:] = 0, 0
+        start = (x.T != 0).astype(kind)
+        before, gave, acts = space("before", steps, k, n), space("gave", steps, k, n), space("acts", steps, 3 * k, n)
+        passing, new = space("passing", 3 * k, n), space("new", k, n)
         ids = x.T.reshape(-1)
-        words = self.p["x"][ids]
-        given = (words @ self.p["i"]).reshape(steps, n, 3 * k)
+        words = self.p["x"][ids].reshape(steps, n, k)
+        flat, dh = space("flat", steps * n, k), space("dh", steps * n, k)
+        i, u = self._given()
+        state = np.ascontiguousarray(h.T)
         for t in range(steps):
-            np.multiply(h, start[t], out=before[t])
-            h, gate[t], cand[t], un[t] = self.step(x[:, t], before[t], given[t])
-            states[t] = h
+            np.multiply(state, start[t], out=before[t])
+            np.matmul(i, words[t].T, out=acts[t])
+            np.matmul(u, before[t], out=passing)
+            gave[t] = passing[2 * k :]
+            self._step(acts[t], passing, before[t], new)
+            flat[t * n : (t + 1) * n] = new.T
+            state = new
+        h = new.T.copy()
         target = y.T.reshape(-1)
-        order, own, classes = self._classes(target)
-        flat, target = states.reshape(steps * n, k)[order], target[order]
-        scale = kind.type(1 / len(target))
-        _, e, z = self._outputs(flat, self.p["c"], self.p["cb"])
-        e *= (scale / z)[:, None]
-        e[np.arange(len(own)), own] -= scale
-        g["c"], g["cb"] = flat.T @ e, np.ones(len(e), kind) @ e
-        ranked = e @ self.p["c"].T
-        for lo, hi, a, b in classes:
-            s, w = flat[a:b], self.p["w"][lo:hi]
-            _, e, z = self._outputs(s, w.T, self.p["wb"][lo:hi])
-            e *= (scale / z)[:, None]
-            e[np.arange(b - a), target[a:b] - lo] -= scale
-            np.matmul(e.T, s, out=g["w"][lo:hi])
-            np.matmul(np.ones(b - a, kind), e, out=g["wb"][lo:hi])
-            ranked[a:b] += e @ w
-        dh = np.empty_like(ranked)
-        dh[order] = ranked
-        dh = dh.reshape(steps, n, k)
-        r, z = gate[:, :, :k], gate[:, :, k:]
-        # what the state's gradient is multiplied with for candidate, update gate and (by the candidate's) reset gate
-        to_cand = (1 - z) * (1 - cand * cand)
-        to_z = (before - cand) * z * (1 - z)
-        to_r = un * r * (1 - r)
-        moved, made = np.empty((steps, n, 3 * k), kind), np.empty((steps, n, 3 * k), kind)
-        back, u = np.zeros((n, k), kind), self.p["u"].T.copy()
+        own, classes = self._classes(target)
+        scale, places, within = 1 / len(target), np.arange(ROWS), self._within(max(1.0, float(np.abs(before[0]).max())))
+
+        def outputs(s: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
+            """Gradients for w and bias, and for the states s."""
+            e = self._outputs(s, w, bias, within)
+            np.exp(e, out=e)
+            z = e @ np.ones(e.shape[1], kind)
+            e[places[: len(e)], at] -= z
+            np.divide(scale, z, out=z)
+            moved = e @ w.T
+            z = z[:, None]
+            moved *= z
+            return e.T @ (s * z), (z.T @ e)[0], moved
+
+        for lo in range(0, len(flat), ROWS):
+            at = slice(lo, lo + ROWS)
+            c, cb, dh[at] = outputs(flat[at], self.p["c"], self.p["cb"], own[at])
+            g["c"] += c.T
+            g["cb"] += cb
+        for lo, hi, at in classes:
+            w, wb, moved = outputs(flat[at], self.p["w"][lo:hi].T, self.p["wb"][lo:hi], target[at] - lo)
+            g["w"][lo:hi] += w
+            g["wb"][lo:hi] += wb
+            dh[at] += moved
+        # gradients of what enters: candidate, reset gate, update gate, and by the state, times the reset gate, the candidate again
+        enter, d, back, t1, t2 = space("enter", 4 * k, n), space("d", k, n), np.zeros((k, n), kind), space("t1", k, n), space("t2", k, n)
+        to_cand, to_r, to_z, by_state = (enter[j * k : (j + 1) * k] for j in range(4))
+        moved, made = enter[: 3 * k], enter[k:]
+        u = self.p["u"]
+        i = np.concatenate([self.p["i"][:, 2 * k :], self.p["i"][:, : 2 * k]], 1).T.copy()
+        gi, dx = np.zeros((k, 3 * k), kind), space("dx", steps * n, k)
         for t in range(steps - 1, -1, -1):
-            d, out, own_ = dh[t], moved[t], made[t]
-            d += back
-            np.multiply(d, to_cand[t], out=out[:, 2 * k :])
-            np.multiply(d, to_z[t], out=out[:, k : 2 * k])
-            np.multiply(out[:, 2 * k :], to_r[t], out=out[:, :k])
-            own_[:, : 2 * k] = out[:, : 2 * k]
-            np.multiply(out[:, 2 * k :], r[t], out=own_[:, 2 * k :])
-            back = own_ @ u
-            back += d * z[t]
+            r, z, cand = (acts[t, j * k : (j + 1) * k] for j in range(3))
+            np.add(back, dh[t * n : (t + 1) * n].T, out=d)
+            np.subtract(1, z, out=t1)
+            t1 *= d
+            np.multiply(cand, cand, out=t2)
+            np.subtract(1, t2, out=t2)
+            np.multiply(t1, t2, out=to_cand)
+            np.subtract(before[t], cand, out=t2)
+            t2 *= z
+            np.multiply(t1, t2, out=to_z)
+            np.multiply(to_cand, r, out=by_state)
+            np.subtract(1, r, out=t2)
+            t2 *= gave[t]
+            np.multiply(by_state, t2, out=to_r)
+            g["u"] += before[t] @ made.T
+            gi += words[t].T @ moved.T
+            np.matmul(moved.T, i, out=dx[t * n : (t + 1) * n])
+            np.matmul(u, made, out=back)
+            d *= z
+            back += d
             back *= start[t]
-        g["u"] = before.reshape(-1, k).T @ made.reshape(-1, 3 * k)
-        moved = moved.reshape(-1, 3 * k)
-        g["i"] = words.T @ moved
+        g["i"][:, : 2 * k], g["i"][:, 2 * k :] = gi[:, k:], gi[:, :k]
         order = np.argsort(ids.astype(np.uint16) if self.words + self.rest < 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        g["x"] = np.add.reduceat((moved @ self.p["i"].T)[order], first)
+        g["x"] = np.add.reduceat(dx[order], first)
         return g, ranked[first], h

@@ -41,19 +41,34 @@ BITS = 20
 #: weights in a row of a copy, and copies averaged in one group.
 ROUNDS, COPY_TOKENS, PIECE, FAN_IN = 8, 1 << 18, 1 << 16, 32
 _ASCII_LETTER = np.array([97 <= b <= 122 or 65 <= b <= 90 for b in range(256)])
+#: Of each byte, the bits of a word's class: beyond ASCII; an ASCII byte, no letter (of the last byte, of those before).
+_BEYOND, _LAST, _BEFORE = 1, 2, 4
+_BITS = np.array([_BEYOND if b >= 128 else 0 if _ASCII_LETTER[b] else _LAST | _BEFORE for b in range(256)], np.uint8)
+#: Bytes whose words are split at once, about: as many as stay in a core's cache.
+CHUNK = 1 << 16
 
 
 def word_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """A key for each word (60 bits of a hash, then 4 of its class; never END), and where each text's words start (n + 1)."""
+    keys, starts, lo, size = [np.empty(0, np.int64)], [np.zeros(1, np.int64)], 0, 0
+    while lo < len(offsets) - 1:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + CHUNK, side="right")) - 1)
+        key, at = _word_keys(raw[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo])
+        keys.append(key)
+        starts.append(at[1:] + size)
+        lo, size = hi, size + len(key)
+    return np.concatenate(keys), np.concatenate(starts)
+
+
+def _word_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     h, at, s, e = word_spans(raw, offsets)
     if not len(h):
         return np.empty(0, np.int64), at
-    beyond = np.concatenate([[0], np.cumsum(raw >= 128)])
-    other = np.concatenate([[0], np.cumsum(~_ASCII_LETTER[raw] & (raw < 128))])
-    cls = (beyond[e] > beyond[s]).astype(np.uint64)
-    cls |= (~_ASCII_LETTER[raw[e - 1]] & (raw[e - 1] < 128)).astype(np.uint64) << np.uint64(1)
-    cls |= (other[e - 1] > other[s]).astype(np.uint64) << np.uint64(2)
-    cls |= (e - s > 8).astype(np.uint64) << np.uint64(3)
+    bits = _BITS[raw]
+    cls = np.bitwise_or.reduceat(bits, np.stack([s, e - 1], 1).reshape(-1))[::2]  # of all bytes but the last, or of the only one
+    last = bits[e - 1]
+    cls = (cls & np.where(e - s > 1, np.uint8(_BEYOND | _BEFORE), np.uint8(_BEYOND))) | (last & np.uint8(_BEYOND | _LAST))
+    cls |= (e - s > 8).astype(np.uint8) << np.uint8(3)
     key = (h & ~np.uint64(CLASSES - 1)) | cls
     return np.where(key == END, np.uint64(CLASSES), key).view(np.int64), at
 
@@ -266,7 +281,8 @@ def score(docs: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU, id_c
 def scored(words: DataFrame, counts: DataFrame, lexicon: Lexicon, model: GRU) -> DataFrame:
     """score() of documents that were split into words."""
     spark = words.sparkSession
-    rows = words.where("round >= -1").select("rid", "id", "codes")
+    # a table of a million tokens a task would have its longest texts run alone, again in every task
+    rows = words.where("round >= -1").select("rid", "id", "codes").coalesce(max(spark.sparkContext.defaultParallelism, lexicon.n // TOGETHER))
     kind = rows.schema["id"].dataType.simpleString()
     sent = spark.sparkContext.broadcast((lexicon, model))
 
