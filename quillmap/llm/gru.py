@@ -124,40 +124,38 @@ class GRU:
         w, b = max(longest(self.p["w"]), longest(self.p["c"].T)), max(float(np.abs(self.p[b]).max(initial=0)) for b in ("wb", "cb"))
         return most * self.hidden**0.5 * w + b < 0.99 * MOST
 
-    @staticmethod
-    def _outputs(h: np.ndarray, w: np.ndarray, bias: np.ndarray, within: bool) -> np.ndarray:
-        s = h @ w
-        s += bias
-        if not within:
-            np.clip(s, -MOST, MOST, out=s)
-        return s
-
-    def _classes(self, target: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, np.ndarray]]]:
-        """Of targets: their classes, and of classes of several words (first word, end, which targets), at most ROWS at once."""
-        own = self.own[target]
+    def _classes(self, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple[int, int, int, int]]]:
+        """Of targets: their classes, their order by class, and of each listed class (first word, end, first place in this order, end)."""
+        own = self.own.take(target)
         order = np.argsort(own.astype(np.int16) if self.listed + self.rest < 1 << 15 else own, kind="stable")
-        cuts = np.searchsorted(own[order], np.arange(self.listed + 1)).tolist()
+        cuts = np.searchsorted(own.take(order), np.arange(self.listed + 1)).tolist()
         first = self.first.tolist()
-        some = [(lo, hi, a, b) for lo, hi, a, b in zip(first, first[1:], cuts, cuts[1:], strict=False) if hi - lo > 1]
-        return own, [(lo, hi, order[x : min(x + ROWS, b)]) for lo, hi, a, b in some for x in range(a, b, ROWS)]
+        return own, order, list(zip(first, first[1:], cuts, cuts[1:], strict=False))
 
     def log_probs(self, h: np.ndarray, target: np.ndarray, within: bool = False) -> np.ndarray:
         """Natural logarithms of P(class) P(word | class), or of P(class) for unlisted words. within: no output is beyond MOST."""
-        own, classes = self._classes(target)
+        own, order, classes = self._classes(target)
         out, places = np.empty(len(h), h.dtype), np.arange(ROWS)
 
         def log_softmax(h: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> np.ndarray:
-            s = self._outputs(h, w, bias, within)
-            got = s[places[: len(s)], at]
+            s = h @ w
+            if within:  # biases are factors of the sum
+                got, factor = s[places[: len(s)], at] + bias.take(at), np.exp(bias)
+            else:
+                s += bias
+                np.clip(s, -MOST, MOST, out=s)
+                got, factor = s[places[: len(s)], at], np.ones(s.shape[1], s.dtype)
             np.exp(s, out=s)
-            got -= np.log(s @ np.ones(s.shape[1], s.dtype))
+            got -= np.log(s @ factor)
             return got
 
         for lo in range(0, len(h), ROWS):
             at = slice(lo, lo + ROWS)
             out[at] = log_softmax(h[at], self.p["c"], self.p["cb"], own[at])
-        for lo, hi, at in classes:
-            out[at] += log_softmax(h[at], self.p["w"][lo:hi].T, self.p["wb"][lo:hi], target[at] - lo)
+        for lo, hi, a, b in classes:
+            for x in range(a, b if hi - lo > 1 else a, ROWS):
+                at = order[x : min(x + ROWS, b)]
+                out[at] += log_softmax(h.take(at, axis=0), self.p["w"][lo:hi].T, self.p["wb"][lo:hi], target.take(at) - lo)
         return out
 
     def score(self, texts: list[np.ndarray], window: int = STATES) -> np.ndarray:
@@ -188,7 +186,7 @@ class GRU:
                     m = now
                     h, last, begin, which = h[:, :m].copy(), last[:m], begin[:m], which[:m]
                     a, b, new = (np.empty((rows * self.hidden, m), kind) for rows in (3, 3, 1))
-                np.matmul(i, self.p["x"][last].T, out=a)
+                np.matmul(i, self.p["x"].take(last, axis=0).T, out=a)
                 np.matmul(u, h, out=b)
                 self._step(a, b, h, new)
                 h, new = new, h
@@ -271,13 +269,12 @@ class GRU:
                 room[name] = np.empty(shape, kind)
             return room[name]
 
-        g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("i", "u", "c", "cb")} | {a: space("g" + a, *self.p[a].shape) for a in ("w", "wb")}
-        g["w"][:], g["wb"][:] = 0, 0
+        g = {a: np.zeros_like(b) for a, b in self.p.items() if a in ("i", "u", "cb")} | {a: space("g" + a, *self.p[a].shape) for a in ("w", "wb")}
         start = (x.T != 0).astype(kind)
         before, gave, acts = space("before", steps, k, n), space("gave", steps, k, n), space("acts", steps, 3 * k, n)
         passing, new = space("passing", 3 * k, n), space("new", k, n)
         ids = x.T.reshape(-1)
-        words = self.p["x"][ids].reshape(steps, n, k)
+        words = self.p["x"].take(ids, axis=0).reshape(steps, n, k)
         flat, dh = space("flat", steps * n, k), space("dh", steps * n, k)
         i, u = self._given()
         state = np.ascontiguousarray(h.T)
@@ -291,63 +288,80 @@ class GRU:
             state = new
         h = new.T.copy()
         target = y.T.reshape(-1)
-        own, classes = self._classes(target)
+        own, order, classes = self._classes(target)
+        own, target, flat = own.take(order), target.take(order), flat.take(order, axis=0)
         scale, places, within = 1 / len(target), np.arange(ROWS), self._within(max(1.0, float(np.abs(before[0]).max())))
 
-        def outputs(s: np.ndarray, w: np.ndarray, bias: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, ...]:
-            """Gradients for w and bias, and for the states s."""
-            e = self._outputs(s, w, bias, within)
+        def outputs(at: slice, w: np.ndarray, bias: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
+            """(e, s, z) of states: e's columns times s are the gradients for w, times z for the bias; and the states' own."""
+            s = flat[at]
+            e = s @ w.T
+            e += bias
+            if not within:
+                np.clip(e, -MOST, MOST, out=e)
             np.exp(e, out=e)
             z = e @ np.ones(e.shape[1], kind)
-            e[places[: len(e)], at] -= z
+            e[places[: len(e)], of] -= z
             np.divide(scale, z, out=z)
-            moved = e @ w.T
-            z = z[:, None]
-            moved *= z
-            return e.T @ (s * z), (z.T @ e)[0], moved
+            moved = e @ w
+            moved *= z[:, None]
+            return e, s * z[:, None], z, moved
 
+        ranked, c, gc = space("ranked", steps * n, k), self.p["c"].T.copy(), 0
         for lo in range(0, len(flat), ROWS):
             at = slice(lo, lo + ROWS)
-            c, cb, dh[at] = outputs(flat[at], self.p["c"], self.p["cb"], own[at])
-            g["c"] += c.T
-            g["cb"] += cb
-        for lo, hi, at in classes:
-            w, wb, moved = outputs(flat[at], self.p["w"][lo:hi].T, self.p["wb"][lo:hi], target[at] - lo)
-            g["w"][lo:hi] += w
-            g["wb"][lo:hi] += wb
-            dh[at] += moved
+            e, s, z, ranked[at] = outputs(at, c, self.p["cb"], own[at])
+            gc += e.T @ s
+            g["cb"] += z @ e
+        g["c"] = gc.T.copy()
+        for lo, hi, a, b in classes:
+            w, gw, gb = self.p["w"][lo:hi], g["w"][lo:hi], g["wb"][lo:hi]
+            if a == b or hi - lo == 1:
+                gw[:], gb[:] = 0, 0
+                continue
+            for x in range(a, b, ROWS):
+                at = slice(x, min(x + ROWS, b))
+                e, s, z, moved = outputs(at, w, self.p["wb"][lo:hi], target[at] - lo)
+                ranked[at] += moved
+                if x == a:
+                    np.matmul(e.T, s, out=gw)
+                    np.matmul(z, e, out=gb)
+                else:
+                    gw += e.T @ s
+                    gb += z @ e
+        dh[order] = ranked
         # gradients of what enters: candidate, reset gate, update gate, and by the state, times the reset gate, the candidate again
-        enter, d, back, t1, t2 = space("enter", 4 * k, n), space("d", k, n), np.zeros((k, n), kind), space("t1", k, n), space("t2", k, n)
+        enter, rest, d, back, t = space("enter", 4 * k, n), space("rest", 2 * k, n), space("d", k, n), np.zeros((k, n), kind), space("t", k, n)
+        rest_r, rest_z = rest[:k], rest[k:]  # 1 - r, 1 - z
         to_cand, to_r, to_z, by_state = (enter[j * k : (j + 1) * k] for j in range(4))
         moved, made = enter[: 3 * k], enter[k:]
         u = self.p["u"]
         i = np.concatenate([self.p["i"][:, 2 * k :], self.p["i"][:, : 2 * k]], 1).T.copy()
         gi, dx = np.zeros((k, 3 * k), kind), space("dx", steps * n, k)
-        for t in range(steps - 1, -1, -1):
-            r, z, cand = (acts[t, j * k : (j + 1) * k] for j in range(3))
-            np.add(back, dh[t * n : (t + 1) * n].T, out=d)
-            np.subtract(1, z, out=t1)
-            t1 *= d
-            np.multiply(cand, cand, out=t2)
-            np.subtract(1, t2, out=t2)
-            np.multiply(t1, t2, out=to_cand)
-            np.subtract(before[t], cand, out=t2)
-            t2 *= z
-            np.multiply(t1, t2, out=to_z)
+        for at in range(steps - 1, -1, -1):
+            r, z, cand = (acts[at, j * k : (j + 1) * k] for j in range(3))
+            np.add(back, dh[at * n : (at + 1) * n].T, out=d)
+            np.subtract(1, acts[at, : 2 * k], out=rest)
+            rest_z *= d
+            np.multiply(cand, cand, out=t)
+            t *= rest_z
+            np.subtract(rest_z, t, out=to_cand)
+            np.subtract(before[at], cand, out=t)
+            t *= z
+            np.multiply(rest_z, t, out=to_z)
             np.multiply(to_cand, r, out=by_state)
-            np.subtract(1, r, out=t2)
-            t2 *= gave[t]
-            np.multiply(by_state, t2, out=to_r)
-            g["u"] += before[t] @ made.T
-            gi += words[t].T @ moved.T
-            np.matmul(moved.T, i, out=dx[t * n : (t + 1) * n])
+            rest_r *= gave[at]
+            np.multiply(by_state, rest_r, out=to_r)
+            g["u"] += before[at] @ made.T
+            gi += words[at].T @ moved.T
+            np.matmul(moved.T, i, out=dx[at * n : (at + 1) * n])
             np.matmul(u, made, out=back)
             d *= z
             back += d
-            back *= start[t]
+            back *= start[at]
         g["i"][:, : 2 * k], g["i"][:, 2 * k :] = gi[:, k:], gi[:, :k]
         order = np.argsort(ids.astype(np.uint16) if self.words + self.rest < 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        g["x"] = np.add.reduceat(dx[order], first)
+        g["x"] = np.add.reduceat(dx.take(order, axis=0), first)
         return g, ranked[first], h

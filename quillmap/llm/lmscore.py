@@ -43,7 +43,7 @@ ROUNDS, COPY_TOKENS, PIECE, FAN_IN = 8, 1 << 18, 1 << 16, 32
 _ASCII_LETTER = np.array([97 <= b <= 122 or 65 <= b <= 90 for b in range(256)])
 #: Of each byte, the bits of a word's class: beyond ASCII; an ASCII byte, no letter (of the last byte, of those before).
 _BEYOND, _LAST, _BEFORE = 1, 2, 4
-_BITS = np.array([_BEYOND if b >= 128 else 0 if _ASCII_LETTER[b] else _LAST | _BEFORE for b in range(256)], np.uint8)
+_BITS = bytes(_BEYOND if b >= 128 else 0 if _ASCII_LETTER[b] else _LAST | _BEFORE for b in range(256))
 #: Bytes whose words are split at once, about: as many as stay in a core's cache.
 CHUNK = 1 << 16
 
@@ -64,7 +64,7 @@ def _word_keys(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nda
     h, at, s, e = word_spans(raw, offsets)
     if not len(h):
         return np.empty(0, np.int64), at
-    bits = _BITS[raw]
+    bits = np.frombuffer(raw.tobytes().translate(_BITS), np.uint8)
     cls = np.bitwise_or.reduceat(bits, np.stack([s, e - 1], 1).reshape(-1))[::2]  # of all bytes but the last, or of the only one
     last = bits[e - 1]
     cls = (cls & np.where(e - s > 1, np.uint8(_BEYOND | _BEFORE), np.uint8(_BEYOND))) | (last & np.uint8(_BEYOND | _LAST))

@@ -9,6 +9,7 @@ from ._common import mix64
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], np.uint8)
 _SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
 _VALUE = mix64(np.arange(1, 257, dtype=np.uint64)) | np.uint64(1)
+_VALUE_LOWER, _INK = _VALUE[_LOWER], bytes((~_SPACE).view(np.uint8))
 _BASE, _INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 _ODD = mix64(np.arange(1000, 1064, dtype=np.uint64)) | np.uint64(1)
 
@@ -34,7 +35,7 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     if not n:
         none = np.empty(0, np.int64)
         return np.empty(0, np.uint64), np.zeros(len(offsets), np.int64), none, none
-    ink = ~_SPACE[raw]
+    ink = np.frombuffer(raw.tobytes().translate(_INK), bool)
     edge = np.zeros(n, bool)  # first bytes of texts end a word before them
     inner = offsets[1:-1]
     edge[inner[inner < n]] = True
@@ -44,7 +45,9 @@ def word_spans(raw: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, ...]:
     end[:-1] &= ~ink[1:] | edge[1:]
     s, e = np.flatnonzero(start), np.flatnonzero(end) + 1
     total = np.zeros(n + 1, np.uint64)
-    np.cumsum(_VALUE[_LOWER[raw]] * _power(_BASE, n), out=total[1:])
+    value = _VALUE_LOWER.take(raw)
+    value *= _power(_BASE, n)
+    np.cumsum(value, out=total[1:])
     h = (total[e] - total[s]) * _power(_INVERSE, n)[s]
     return mix64(h + (e - s).astype(np.uint64) * _ODD[63]), np.searchsorted(s, offsets), s, e
 

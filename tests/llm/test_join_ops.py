@@ -3,10 +3,12 @@
 import math
 import os
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quillmap.llm import _common, crosspoly, gru, kmtree, lmscore, nearset, suffixes
@@ -284,6 +286,33 @@ def test_windows_carry_state():
     assert every == pytest.approx(1, rel=1e-4)  # listed words and the classes of others
 
 
+def test_scoring_works_in_pieces_whatever_the_number_of_texts():
+    """Neither the states nor the outputs of all texts are held at once, and the pieces change no score."""
+    rng = np.random.default_rng(3)
+    g = gru.GRU(rng.integers(1, 90, 3000).astype(float), np.ones(16), width=64)
+    texts = [rng.integers(1, 3016, n) for n in rng.integers(0, 80, 4000)]
+    tracemalloc.start()
+    got = g.score(texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 25_000_000
+    for i in range(0, 4000, 500):
+        assert g.score([texts[i]])[0] == pytest.approx(got[i], rel=1e-5)
+
+
+def test_word_keys_do_not_depend_on_chunks(monkeypatch):
+    rng = random.Random(6)
+    texts = ["", None, "x" * 300, "é. .é a-b - a. longer-than-8 LONGER-THAN-8", *("".join(rng.choice("aB .é-\n9漢") for _ in range(rng.randint(0, 60))) for _ in range(300))]
+    raw = _common.utf8_buffer(pa.array(texts))
+    whole = lmscore.word_keys(*raw)
+    monkeypatch.setattr(lmscore, "CHUNK", 50)
+    assert all((a == b).all() for a, b in zip(lmscore.word_keys(*raw), whole, strict=True))
+    letter = lambda c: c in range(97, 123) or c in range(65, 91)
+    words = [w for t in texts for w in (t or "").encode().split()]
+    want = [any(c >= 128 for c in w) + 2 * (w[-1] < 128 and not letter(w[-1])) + 4 * any(c < 128 and not letter(c) for c in w[:-1]) + 8 * (len(w) > 8) for w in words]
+    assert (whole[0] & 15).tolist() == want and whole[1].tolist() == np.cumsum([0, *(len((t or "").encode().split()) for t in texts)]).tolist()
+
+
 def test_scores(spark, docs, monkeypatch):
     monkeypatch.setattr(lmscore, "SENT", 30)
     monkeypatch.setattr(lmscore, "LISTED", 12)
