@@ -274,8 +274,8 @@ class GRU:
         before, gave, acts = space("before", steps, k, n), space("gave", steps, k, n), space("acts", steps, 3 * k, n)
         passing, new = space("passing", 3 * k, n), space("new", k, n)
         ids = x.T.reshape(-1)
-        words = self.p["x"].take(ids, axis=0).reshape(steps, n, k)
-        flat, dh = space("flat", steps * n, k), space("dh", steps * n, k)
+        words, flat = space("words", steps, n, k), space("flat", steps * n, k)
+        self.p["x"].take(ids, axis=0, out=words.reshape(steps * n, k), mode="clip")
         i, u = self._given()
         state = np.ascontiguousarray(h.T)
         for t in range(steps):
@@ -289,7 +289,8 @@ class GRU:
         h = new.T.copy()
         target = y.T.reshape(-1)
         own, order, classes = self._classes(target)
-        own, target, flat = own.take(order), target.take(order), flat.take(order, axis=0)
+        own, target, dh = own.take(order), target.take(order), flat
+        flat = flat.take(order, axis=0, out=space("sorted", steps * n, k), mode="clip")
         scale, places, within = 1 / len(target), np.arange(ROWS), self._within(max(1.0, float(np.abs(before[0]).max())))
 
         def outputs(at: slice, w: np.ndarray, bias: np.ndarray, of: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -337,7 +338,7 @@ class GRU:
         moved, made = enter[: 3 * k], enter[k:]
         u = self.p["u"]
         i = np.concatenate([self.p["i"][:, 2 * k :], self.p["i"][:, : 2 * k]], 1).T.copy()
-        gi, dx = np.zeros((k, 3 * k), kind), space("dx", steps * n, k)
+        gi = np.zeros((k, 3 * k), kind)
         for at in range(steps - 1, -1, -1):
             r, z, cand = (acts[at, j * k : (j + 1) * k] for j in range(3))
             np.add(back, dh[at * n : (at + 1) * n].T, out=d)
@@ -354,7 +355,7 @@ class GRU:
             np.multiply(by_state, rest_r, out=to_r)
             g["u"] += before[at] @ made.T
             gi += words[at].T @ moved.T
-            np.matmul(moved.T, i, out=dx[at * n : (at + 1) * n])
+            np.matmul(moved.T, i, out=words[at])  # from here on the gradients of what the words are
             np.matmul(u, made, out=back)
             d *= z
             back += d
@@ -363,5 +364,5 @@ class GRU:
         order = np.argsort(ids.astype(np.uint16) if self.words + self.rest < 1 << 16 else ids, kind="stable")
         ranked = ids[order]
         first = np.flatnonzero(np.append(True, ranked[1:] != ranked[:-1]))
-        g["x"] = np.add.reduceat(dx.take(order, axis=0), first)
+        g["x"] = np.add.reduceat(words.reshape(steps * n, k).take(order, axis=0, out=flat, mode="clip"), first)
         return g, ranked[first], h
